@@ -1,0 +1,2 @@
+"""Streaming: the reference analyses are batch only (no streams, watermarks or state), so nothing
+streams here. Incremental loads use ``operators.merge.upsert_by_key`` on batches."""
