@@ -12,6 +12,7 @@ from cohortlens.plans.inputs import Bundle
 from cohortlens.plans.oracle_sql import evaluate_sql
 from cohortlens.plans.registry import query
 from cohortlens.plans.weights import grid_weights, weight_search_metrics
+from cohortlens.session import cut_lineage
 
 
 def _vals(d: dict, dec: str | None = None) -> str:
@@ -80,9 +81,11 @@ def _v2_parts(b: Bundle):
 
 
 def eval_frame_v2(b: Bundle):
+    """Score + parts + latest rating + label; checkpointed because the ranking metrics read it in
+    several passes (distinct-score curve, range-ranked rows, group sizes)."""
     s = v2.success_score_v2(_v2_parts(b))
     lab = b.perf_latest.select("employee_id", "rating")
-    return s.join(lab, "employee_id", "left").withColumn("is_high", label_cohort("rating"))
+    return cut_lineage(s.join(lab, "employee_id", "left").withColumn("is_high", label_cohort("rating")))
 
 
 @query("weighted_sum_long", "employee_id:s, wsum:d",
@@ -278,4 +281,4 @@ def q_weight_search(spark, sf_dir):
     lab = b.perf_latest.select("employee_id", "rating")
     labelled = parts.join(lab, "employee_id", "left").select(
         "employee_id", label_cohort("rating").alias("is_high"), "comp_score", "str_score", "psy_score", "ctx_adj")
-    return weight_search_metrics(labelled)
+    return weight_search_metrics(cut_lineage(labelled))

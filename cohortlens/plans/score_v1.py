@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.operators.scale import attach_scalars, minmax_expr, scale_columns, z_expr
+from cohortlens.session import cut_lineage
 
 # --- fixed values (v1 rule) ---------------------------------------------------------------------
 COMP_WEIGHTS_V1 = {"SEA": 0.22, "CEX": 0.17, "VCU": 0.12, "STO": 0.12, "CSI": 0.11,
@@ -102,6 +103,7 @@ def success_score_v1(comp_latest: DataFrame, strengths: DataFrame, psych: DataFr
              + F.lit(w_main["psychometric"]) * F.col("psy_score") + F.lit(w_main["context"]) * F.col("ctx_adj"))
     s = parts.withColumn("success_score", score)
     if minmax:
+        s = cut_lineage(s)  # feeds both the min/max aggregate and the rows
         s = attach_scalars(s, F.min("success_score").alias("_lo"), F.max("success_score").alias("_hi")) \
             .withColumn("success_score", minmax_expr("success_score", F.col("_lo"), F.col("_hi")))
     return s.select("employee_id", "success_score", "comp_score", "str_score", "psy_score", "ctx_adj")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.columns import clip
 from cohortlens.operators.scale import attach_scalars, minmax_expr, scale_columns
+from cohortlens.session import cut_lineage
 
 # --- fixed values (v2 rule) ---------------------------------------------------------------------
 COMP_WEIGHTS_V2 = {"SEA": 0.30, "CEX": 0.20, "VCU": 0.15, "STO": 0.10, "CSI": 0.10,
@@ -98,8 +99,13 @@ def score_v2_parts(comp_latest: DataFrame, strengths: DataFrame, psych_fixed: Da
     return parts.withColumn("raw", raw)
 
 
-def success_score_v2(parts: DataFrame) -> DataFrame:
-    """employee_id, success_v2 (min-max of raw over the base), and the four parts."""
+def success_score_v2(parts: DataFrame, materialize: bool = True) -> DataFrame:
+    """employee_id, success_v2 (min-max of raw over the base), and the four parts.
+
+    The parts feed both the min/max aggregate and the rows, so they are checkpointed once first.
+    """
+    if materialize:
+        parts = cut_lineage(parts)
     s = attach_scalars(parts, F.min("raw").alias("_lo"), F.max("raw").alias("_hi"))
     return s.select("employee_id", minmax_expr("raw", F.col("_lo"), F.col("_hi")).alias("success_v2"),
                     "comp_score", "str_score", "psy_score", "disc_bonus")

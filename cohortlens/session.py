@@ -21,6 +21,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("COHORTLENS_DRIVER_MEMORY", "16g"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -45,7 +46,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss; never a local checkpoint)."""
+    """Reliable checkpoint into the shared folder (survives executor loss; never a local checkpoint).
+
+    Used where one derived frame feeds several branches of a plan (a population statistic joined
+    back, or the several passes of the ranking metrics), so the expensive lineage runs once.
+    """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
