@@ -30,14 +30,15 @@ def report_competency(b: Bundle) -> DataFrame:
     r = cohort_report(long).withColumnRenamed("metric", "pillar_code")
     r = r.join(F.broadcast(b.pillar_labels), "pillar_code", "left")
     return r.select("pillar_code", "pillar_label", "mean_high", "mean_non", "delta", "cohens_d", "p_mwu",
-                    "n_high", "n_non")
+                    "n_high", "n_non").orderBy(F.col("cohens_d").desc(), F.col("delta").desc())
 
 
 def report_papi(b: Bundle) -> DataFrame:
     """scale, mean_high, mean_non, delta, cohens_d, p_mwu (one row per PAPI scale)."""
     long = _labelled(b, b.papi).select(F.col("scale_code").alias("metric"), F.col("score").alias("value"), "label")
     r = cohort_report(long)
-    return r.select(F.col("metric").alias("scale"), "mean_high", "mean_non", "delta", "cohens_d", "p_mwu")
+    return r.select(F.col("metric").alias("scale"), "mean_high", "mean_non", "delta", "cohens_d", "p_mwu") \
+            .orderBy(F.col("cohens_d").desc())
 
 
 def report_cognitive(b: Bundle, metrics=COGNITIVE_METRICS) -> DataFrame:
@@ -48,13 +49,15 @@ def report_cognitive(b: Bundle, metrics=COGNITIVE_METRICS) -> DataFrame:
                                                           F.col(m).cast("double").alias("value"))
                                                  for m in present])).alias("_mv")) \
              .select("_mv.metric", "_mv.value", "label")
-    return cohort_report(long).select("metric", "mean_high", "mean_non", "delta", "cohens_d", "p_mwu")
+    return cohort_report(long).select("metric", "mean_high", "mean_non", "delta", "cohens_d", "p_mwu") \
+            .orderBy(F.col("cohens_d").desc())
 
 
 def report_strengths(b: Bundle) -> DataFrame:
     """theme, pct_nonhigh, pct_high, delta_pct (percent of the cohort's theme records)."""
     ab = _labelled(b, b.strengths)
-    return share_by_cohort(ab, "theme", "label").select("theme", "pct_nonhigh", "pct_high", "delta_pct")
+    return share_by_cohort(ab, "theme", "label").select("theme", "pct_nonhigh", "pct_high", "delta_pct") \
+            .orderBy(F.col("delta_pct").desc())
 
 
 def _psych_labelled(b: Bundle) -> DataFrame:
@@ -64,7 +67,8 @@ def _psych_labelled(b: Bundle) -> DataFrame:
 
 def report_disc(b: Bundle) -> DataFrame:
     """disc, pct_high, pct_non, n (fractions)."""
-    return crosstab_rates(_psych_labelled(b), "disc", "label").select("disc", "pct_high", "pct_non", "n")
+    return crosstab_rates(_psych_labelled(b), "disc", "label").select("disc", "pct_high", "pct_non", "n") \
+            .orderBy(F.col("pct_high").desc())
 
 
 def report_disc_test(b: Bundle) -> DataFrame:
@@ -102,7 +106,8 @@ def report_mbti_dimensions(b: Bundle) -> DataFrame:
 def report_mbti_types(b: Bundle, min_n: int = 30) -> DataFrame:
     """mbti, pct_high, pct_non, n for types with n >= min_n."""
     p = _psych_labelled(b).select("label", mbti_normalise("mbti").alias("mbti"))
-    return crosstab_rates(p, "mbti", "label").where(F.col("n") >= min_n).select("mbti", "pct_high", "pct_non", "n")
+    return crosstab_rates(p, "mbti", "label").where(F.col("n") >= min_n) \
+        .select("mbti", "pct_high", "pct_non", "n").orderBy(F.col("pct_high").desc(), F.col("n").desc())
 
 
 def report_contextual(b: Bundle) -> DataFrame:
@@ -110,12 +115,13 @@ def report_contextual(b: Bundle) -> DataFrame:
     ab = _labelled(b, b.employees_org)
     ab = ab.withColumn("years_of_service", bin_right_closed(F.col("years_of_service_months").cast("double") / 12.0))
     r = rate_by_factor(ab, [*CONTEXT_FACTORS, "years_of_service"], "label", 100.0)
-    return r.select("factor", "category", "pct_high")
+    return r.select("factor", "category", "pct_high").orderBy(F.col("factor"), F.col("pct_high").desc())
 
 
 def report_group_precision(eval_frame: DataFrame, b: Bundle, k: float = 0.1, min_n: int = 30) -> DataFrame:
     """factor, grp, prec_10, uplift_vs_base_pp, n: precision@k inside education/grade/major groups."""
     org = b.employees_org.select("employee_id", "education", "grade", "major")
     res = eval_frame.join(org, "employee_id", "left")
-    return precision_at_k_by_group(res, ["education", "grade", "major"], "success_v2", "is_high", "employee_id",
-                                   k=k, min_n=min_n)
+    out = precision_at_k_by_group(res, ["education", "grade", "major"], "success_v2", "is_high", "employee_id",
+                                  k=k, min_n=min_n)
+    return out.orderBy(F.col("factor"), F.col(out.columns[2]).desc())
