@@ -55,7 +55,7 @@ def _attach_splits(g: DataFrame, keys: Sequence[str], value: str, buckets: int,
 
 
 def running_by_value(g: DataFrame, keys: Sequence[str], value: str, measures: Sequence[str] = ("pos", "n"),
-                     buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
+                     buckets: int | None = None, accuracy: int | None = None) -> DataFrame:
     """Add ``cum_<m>`` (running sum over ascending value, inclusive) and ``tot_<m>`` per key.
 
     ``g`` must hold one row per (keys, value). Descending running sums follow as
@@ -63,7 +63,8 @@ def running_by_value(g: DataFrame, keys: Sequence[str], value: str, measures: Se
     """
     keys = list(keys)
     b = buckets or default_buckets(g.sparkSession)
-    gb = _attach_splits(g, keys, value, b, accuracy)
+    # the sketch only balances buckets: a rank error well below 1/b of the distinct values is enough
+    gb = _attach_splits(g, keys, value, b, accuracy or max(1000, 20 * b))
     # per-bucket totals: at most (#keys x b) rows
     btot = gb.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(f"_b_{m}") for m in measures])
     wk = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))  # tiny: #buckets rows

@@ -99,10 +99,12 @@ def score_v2_parts(comp_latest: DataFrame, strengths: DataFrame, psych_fixed: Da
     return parts.withColumn("raw", raw)
 
 
-def success_score_v2(parts: DataFrame, materialize: bool = True) -> DataFrame:
+def success_score_v2(parts: DataFrame, materialize: bool = False) -> DataFrame:
     """employee_id, success_v2 (min-max of raw over the base), and the four parts.
 
-    The parts feed both the min/max aggregate and the rows, so they are checkpointed once first.
+    The parts feed both the min/max aggregate and the rows; identical exchanges are reused, so by
+    default the parts are not checkpointed here (measured: no gain). Callers that read the score in
+    several passes (the ranking metrics) cut lineage on the scored frame instead.
     """
     if materialize:
         parts = cut_lineage(parts)
