@@ -82,6 +82,11 @@ def text_to_int_rounded(c, on_error: str = "raise") -> Column:
     return F.round(text_to_decimal(c, on_error)).cast("int")
 
 
+def safe_div(a, b) -> Column:
+    """a / b with a zero denominator giving NULL (ANSI mode raises on division by zero)."""
+    return _col(a) / F.nullif(_col(b), F.lit(0))
+
+
 def upper_code(c) -> Column:
     """``UPPER(TRIM(c))`` with blank -> NULL."""
     return blank_to_null(F.upper(F.trim(_col(c))), trim=False)

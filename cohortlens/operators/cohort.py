@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.functions.columns import safe_div
 from cohortlens.functions.distributions import chi2_sf, normal_two_sided_p
 from cohortlens.operators.prefix import collapse_by_value, running_by_value
 
@@ -32,10 +33,10 @@ def cohort_compare(long: DataFrame, metric: str = "metric", value: str = "value"
         F.var_samp(hi).alias("_vh"), F.var_samp(lo).alias("_vn"),
     )
     nh, nn = F.col("n_high"), F.col("n_non")
-    pooled = F.sqrt(((nh - 1) * F.col("_vh") + (nn - 1) * F.col("_vn")) / (nh + nn - 2))
+    pooled = F.sqrt(safe_div((nh - 1) * F.col("_vh") + (nn - 1) * F.col("_vn"), nh + nn - 2))
     d = (F.when((nh < 2) | (nn < 2), F.lit(None).cast("double"))
          .when(pooled.isNull() | (pooled == 0) | F.isnan(pooled), F.lit(0.0))
-         .otherwise((F.col("mean_high") - F.col("mean_non")) / pooled))
+         .otherwise(safe_div(F.col("mean_high") - F.col("mean_non"), pooled)))
     return a.select(metric, "mean_high", "mean_non", (F.col("mean_high") - F.col("mean_non")).alias("delta"),
                     d.alias("cohens_d"), "n_high", "n_non")
 
@@ -67,8 +68,8 @@ def _mwu_cols():
     u1 = F.col("_r1") - n1 * (n1 + 1) / 2.0
     u = F.greatest(u1, n1 * n0 - u1)
     mu = n1 * n0 / 2.0
-    sigma = F.sqrt(n1 * n0 / 12.0 * ((N + 1) - F.col("_ties") / (N * (N - 1))))
-    z = (u - mu - 0.5) / sigma
+    sigma = F.sqrt(n1 * n0 / 12.0 * ((N + 1) - safe_div(F.col("_ties"), N * (N - 1))))
+    z = safe_div(u - mu - 0.5, sigma)
     p = F.when((n1 == 0) | (n0 == 0), F.lit(None).cast("double")) \
          .when(sigma.isNull() | (sigma <= 0), F.lit(1.0)) \
          .otherwise(normal_two_sided_p(z))
@@ -120,9 +121,10 @@ def share_by_cohort(df: DataFrame, category: str, label: str = "label", scale: f
 
     Columns: category, pct_nonhigh, pct_high, delta_pct.
     """
-    counts = df.groupBy(category, label).agg(F.count(F.lit(1)).alias("n"))
-    totals = df.groupBy(label).agg(F.count(F.col(category)).alias("total"))  # 2 rows
-    pct = counts.join(F.broadcast(totals), label).withColumn("pct", F.col("n") / F.col("total") * F.lit(scale))
+    d = df.where(F.col(category).isNotNull())  # NULL categories are not counted (as a pandas groupby)
+    counts = d.groupBy(category, label).agg(F.count(F.lit(1)).alias("n"))
+    totals = d.groupBy(label).agg(F.count(F.lit(1)).alias("total"))  # one row per label value (0/1)
+    pct = counts.join(F.broadcast(totals), label).withColumn("pct", safe_div(F.col("n"), F.col("total")) * F.lit(scale))
     wide = pct.groupBy(category).agg(
         F.coalesce(F.max(F.when(F.col(label) == 0, F.col("pct"))), F.lit(0.0)).alias("pct_nonhigh"),
         F.coalesce(F.max(F.when(F.col(label) == 1, F.col("pct"))), F.lit(0.0)).alias("pct_high"))
@@ -165,7 +167,7 @@ def chi2_test(df: DataFrame, category: str, label: str = "label", groups: Sequen
     return stat.select(
         *groups, F.when(valid, raw).alias("chi2"), F.when(valid, dof).alias("dof"),
         F.when(valid, chi2_sf(raw, dof)).alias("p_value"),
-        F.when(valid, F.sqrt(raw / (n * k))).alias("cramers_v"),
+        F.when(valid, F.sqrt(safe_div(raw, n * k))).alias("cramers_v"),
         F.col("n").cast("long").alias("n"), F.col("n_categories").cast("long").alias("n_categories"),
         F.col("n_labels").cast("long").alias("n_labels"))
 

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.functions.columns import safe_div
 from cohortlens.operators.prefix import collapse_by_value, rank_rows, running_by_value
 
 
@@ -30,18 +31,18 @@ def _threshold_metrics(ct: DataFrame, keys: Sequence[str]) -> DataFrame:
     P = F.col("tot_pos").cast("double")
     Nn = (F.col("tot_n") - F.col("tot_pos")).cast("double")
     rank = F.col("cum_n") - F.col("n") + (F.col("n") + 1) / 2.0
-    f1 = F.col("cum_pos") / P
-    f0 = (F.col("cum_n") - F.col("cum_pos")) / Nn
+    f1 = safe_div(F.col("cum_pos"), P)
+    f0 = safe_div(F.col("cum_n") - F.col("cum_pos"), Nn)
     a = ct.groupBy(*keys, "tot_pos", "tot_n").agg(
         F.sum(F.col("pos") * rank).alias("_r1"),
-        F.sum(F.when(P > 0, F.col("pos") / P * (F.col("dpos") / F.col("dn")))).alias("_ap"),
+        F.sum(F.when(P > 0, safe_div(F.col("pos"), P) * safe_div(F.col("dpos"), F.col("dn")))).alias("_ap"),
         F.max(F.when((P > 0) & (Nn > 0), F.abs(f1 - f0))).alias("_ks"),
     )
     both = (P > 0) & (Nn > 0)
     u1 = F.col("_r1") - P * (P + 1) / 2.0
     return a.select(
         *keys,
-        F.when(both, u1 / (P * Nn)).alias("roc_auc"),
+        F.when(both, safe_div(u1, P * Nn)).alias("roc_auc"),
         F.when(P > 0, F.col("_ap")).alias("pr_auc"),
         F.when(both, F.col("_ks")).alias("ks"),
         F.col("tot_n").alias("n"), F.col("tot_pos").alias("n_pos"),
@@ -82,8 +83,8 @@ def top_fraction(df: DataFrame, score: str, label: str, id_col: str, ks: Sequenc
     for k in ks:
         name = _k_name(k)
         m = F.least(F.greatest(F.lit(1), F.ceil(F.lit(float(k)) * F.col("_n"))), F.col("_n"))
-        out.append((F.col(f"_h{name}") / m).alias(f"prec_{name}"))
-        out.append(F.when(F.col("_np") > 0, F.col(f"_h{name}") / F.col("_np")).alias(f"capt_{name}"))
+        out.append(safe_div(F.col(f"_h{name}"), m).alias(f"prec_{name}"))
+        out.append(F.when(F.col("_np") > 0, safe_div(F.col(f"_h{name}"), F.col("_np"))).alias(f"capt_{name}"))
     return a.select(*keys, *out)
 
 
@@ -115,8 +116,8 @@ def roc_curve(df: DataFrame, score: str, label: str, keys: Sequence[str] = (), b
     P = F.col("tot_pos").cast("double")
     Nn = (F.col("tot_n") - F.col("tot_pos")).cast("double")
     pts = ct.select(*keys, F.col(score).cast("double").alias("threshold"),
-                    F.when(Nn > 0, (F.col("dn") - F.col("dpos")) / Nn).alias("fpr"),
-                    F.when(P > 0, F.col("dpos") / P).alias("tpr"))
+                    F.when(Nn > 0, safe_div(F.col("dn") - F.col("dpos"), Nn)).alias("fpr"),
+                    F.when(P > 0, safe_div(F.col("dpos"), P)).alias("tpr"))
     start = ct.groupBy(*keys).agg(F.lit(None).cast("double").alias("threshold"),
                                   F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return pts.unionByName(start)
@@ -130,8 +131,8 @@ def roc_auc_trapezoid(df: DataFrame, score: str, label: str, keys: Sequence[str]
     P = F.col("tot_pos").cast("double")
     Nn = (F.col("tot_n") - F.col("tot_pos")).cast("double")
     neg = (F.col("n") - F.col("pos")).cast("double")
-    tpr, tpr_prev = F.col("dpos") / P, (F.col("dpos") - F.col("pos")) / P
-    a = ct.groupBy(*keys, "tot_pos", "tot_n").agg(F.sum(neg / Nn * (tpr + tpr_prev) / 2.0).alias("_a"))
+    tpr, tpr_prev = safe_div(F.col("dpos"), P), safe_div(F.col("dpos") - F.col("pos"), P)
+    a = ct.groupBy(*keys, "tot_pos", "tot_n").agg(F.sum(safe_div(neg, Nn) * (tpr + tpr_prev) / 2.0).alias("_a"))
     return a.select(*keys, F.when((P > 0) & (Nn > 0), F.col("_a")).alias("auc"))
 
 
@@ -141,8 +142,8 @@ def pr_curve(df: DataFrame, score: str, label: str, keys: Sequence[str] = (), bu
     ct = curve_table(df, score, label, keys, buckets)
     P = F.col("tot_pos").cast("double")
     pts = ct.select(*keys, F.col(score).cast("double").alias("threshold"),
-                    (F.col("dpos") / F.col("dn")).alias("precision"),
-                    F.when(P > 0, F.col("dpos") / P).otherwise(F.lit(1.0)).alias("recall"))
+                    safe_div(F.col("dpos"), F.col("dn")).alias("precision"),
+                    F.when(P > 0, safe_div(F.col("dpos"), P)).otherwise(F.lit(1.0)).alias("recall"))
     end = ct.groupBy(*keys).agg(F.lit(None).cast("double").alias("threshold"),
                                 F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
     return pts.unionByName(end)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.functions.columns import clip
+from cohortlens.functions.columns import clip, safe_div
 
 
 def attach_scalars(df: DataFrame, *aggs: Column) -> DataFrame:
@@ -34,20 +34,20 @@ def _stats(c: str, prefix: str):
 def z_expr(c: str, mean: Column, sd: Column) -> Column:
     """(x - mean) / sd; a constant or empty column -> 0.0 for every row including NULLs."""
     x = F.col(c).cast("double")
-    return F.when(sd.isNull() | (sd == 0), F.lit(0.0)).otherwise((x - mean) / sd)
+    return F.when(sd.isNull() | (sd == 0), F.lit(0.0)).otherwise(safe_div(x - mean, sd))
 
 
 def zclip_expr(c: str, mean: Column, sd: Column, lim: float = 2.0) -> Column:
     """z clipped to [-lim, lim]; a constant column gives x - mean (0, NULL kept)."""
     x = F.col(c).cast("double")
-    z = F.when(sd.isNull() | (sd == 0), x - mean).otherwise((x - mean) / sd)
+    z = F.when(sd.isNull() | (sd == 0), x - mean).otherwise(safe_div(x - mean, sd))
     return clip(z, -lim, lim)
 
 
 def minmax_expr(c: str, lo: Column, hi: Column) -> Column:
     """(x - min) / (max - min); constant or empty -> 0.0 for every row including NULLs."""
     x = F.col(c).cast("double")
-    return F.when(lo.isNull() | hi.isNull() | (hi == lo), F.lit(0.0)).otherwise((x - lo) / (hi - lo))
+    return F.when(lo.isNull() | hi.isNull() | (hi == lo), F.lit(0.0)).otherwise(safe_div(x - lo, hi - lo))
 
 
 def scale_columns(df: DataFrame, specs: Sequence[tuple[str, str, str]]) -> DataFrame:

@@ -66,8 +66,8 @@ STR_SRC = "SELECT s.theme, l.is_high AS y FROM fx_strengths s JOIN lab l ON s.em
   coalesce(max(CASE WHEN y = 1 THEN pct END), 0.0) AS pct_high,
   coalesce(max(CASE WHEN y = 1 THEN pct END), 0.0) - coalesce(max(CASE WHEN y = 0 THEN pct END), 0.0) AS delta_pct
 FROM (SELECT c.theme, c.y, CAST(c.n AS DOUBLE) / t.total * 100.0 AS pct
-      FROM (SELECT theme, y, count(*) AS n FROM ({STR_SRC}) s GROUP BY theme, y) c
-      JOIN (SELECT y, count(theme) AS total FROM ({STR_SRC}) s2 GROUP BY y) t ON c.y = t.y) x
+      FROM (SELECT theme, y, count(*) AS n FROM ({STR_SRC}) s WHERE theme IS NOT NULL GROUP BY theme, y) c
+      JOIN (SELECT y, count(*) AS total FROM ({STR_SRC}) s2 WHERE theme IS NOT NULL GROUP BY y) t ON c.y = t.y) x
 GROUP BY theme""")
 def q_report_strengths(spark, sf_dir):
     return reports.report_strengths(Bundle(spark, sf_dir))

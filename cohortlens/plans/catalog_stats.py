@@ -129,8 +129,8 @@ def q_crosstab_rates(spark, sf_dir):
   coalesce(max(CASE WHEN y = 1 THEN pct END), 0.0) AS pct_high,
   coalesce(max(CASE WHEN y = 1 THEN pct END), 0.0) - coalesce(max(CASE WHEN y = 0 THEN pct END), 0.0) AS delta_pct
 FROM (SELECT c.p_type, c.y, CAST(c.n AS DOUBLE) / t.total * 100.0 AS pct
-      FROM (SELECT p_type, y, count(*) AS n FROM ({LP_SQL}) s GROUP BY p_type, y) c
-      JOIN (SELECT y, count(p_type) AS total FROM ({LP_SQL}) s2 GROUP BY y) t ON c.y = t.y) x
+      FROM (SELECT p_type, y, count(*) AS n FROM ({LP_SQL}) s WHERE p_type IS NOT NULL GROUP BY p_type, y) c
+      JOIN (SELECT y, count(*) AS total FROM ({LP_SQL}) s2 WHERE p_type IS NOT NULL GROUP BY y) t ON c.y = t.y) x
 GROUP BY p_type""")
 def q_share_by_cohort(spark, sf_dir):
     return cohort.share_by_cohort(lineitem_parts(spark, sf_dir), "p_type")

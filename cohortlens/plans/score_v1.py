@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlens.functions.columns import safe_div
 from cohortlens.operators.scale import attach_scalars, minmax_expr, scale_columns, z_expr
 from cohortlens.session import cut_lineage
 
@@ -54,11 +55,11 @@ def strengths_component_v1(strengths: DataFrame, weights: dict = THEME_WEIGHTS_V
     tstat = held.groupBy("theme", "weight").agg(F.count(F.lit(1)).alias("_k"))  # <= #weighted themes rows
     n_emp = emp.agg(F.count(F.lit(1)).alias("_E"))  # one row
     tstat = tstat.crossJoin(F.broadcast(n_emp))
-    p = F.col("_k") / F.col("_E")
+    p = safe_div(F.col("_k"), F.col("_E"))
     sd = F.sqrt(p * (F.lit(1.0) - p))
     tstat = tstat.select("theme", "weight",
-                         F.when(sd == 0, F.lit(0.0)).otherwise(F.col("weight") * (-p) / sd).alias("_base_t"),
-                         F.when(sd == 0, F.lit(0.0)).otherwise(F.col("weight") / sd).alias("_step"))
+                         F.when(sd == 0, F.lit(0.0)).otherwise(safe_div(F.col("weight") * (-p), sd)).alias("_base_t"),
+                         F.when(sd == 0, F.lit(0.0)).otherwise(safe_div(F.col("weight"), sd)).alias("_step"))
     base = tstat.agg(F.coalesce(F.sum("_base_t"), F.lit(0.0)).alias("_base"))  # one row
     steps = pairs.join(F.broadcast(tstat.select("theme", "_step")), "theme") \
                  .groupBy("employee_id").agg(F.sum("_step").alias("_s"))
