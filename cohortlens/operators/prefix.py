@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.session import default_buckets
+from cohortlens.session import cut_lineage, default_buckets
 
 _LOW33 = (1 << 33) - 1
 
@@ -85,7 +85,7 @@ def running_by_value(g: DataFrame, keys: Sequence[str], value: str, measures: Se
 
 
 def rank_rows(df: DataFrame, order: Sequence[Column], groups: Sequence[str] = (),
-              buckets: int | None = None, rank_col: str = "rank") -> DataFrame:
+              buckets: int | None = None, rank_col: str = "rank", materialize: bool = True) -> DataFrame:
     """Exact 1-based rank within ``groups`` under ``order`` (the order must be total, e.g. end with an id)."""
     groups = list(groups)
     b = buckets or default_buckets(df.sparkSession)
@@ -94,7 +94,12 @@ def rank_rows(df: DataFrame, order: Sequence[Column], groups: Sequence[str] = ()
               .sortWithinPartitions(*sort_keys)
               .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = ranged.withColumn("_part", F.shiftright("_mid", 33)) \
-                   .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW33)))
+                   .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW33))).drop("_mid")
+    if materialize:
+        # Both the counts and the rows must see the same range bounds. They do when Spark reuses the
+        # one range exchange, but a second exchange would sample its own bounds, and with an
+        # unordered upstream the samples can differ. A reliable checkpoint makes it hold by construction.
+        ranged = cut_lineage(ranged)
     counts = ranged.groupBy("_part", *groups).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first"))
     wg = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))  # tiny: #partitions rows
     counts = counts.withColumn(
@@ -102,4 +107,4 @@ def rank_rows(df: DataFrame, order: Sequence[Column], groups: Sequence[str] = ()
                            F.lit(0)))
     out = ranged.join(counts.select("_part", *groups, "_off", "_first"), ["_part", *groups])
     return out.withColumn(rank_col, F.col("_off") + F.col("_pos") - F.col("_first") + 1) \
-              .drop("_mid", "_part", "_pos", "_off", "_first")
+              .drop("_part", "_pos", "_off", "_first")
