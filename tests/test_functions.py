@@ -1,7 +1,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from cohortlens.functions import (bin_right_closed, blank_to_null, chi2_sf, clip, erfc, label_cohort,
                                   mbti_normalise, text_to_int_rounded)

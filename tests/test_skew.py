@@ -2,7 +2,6 @@
 
 import random
 
-from pyspark.sql import functions as F
 
 from cohortlens.operators import cohort, ranking
 from cohortlens.operators.clean import dedup_row_number
