@@ -44,6 +44,9 @@ def _attach_splits(g: DataFrame, keys: Sequence[str], value: str, buckets: int,
     probs = [i / buckets for i in range(1, buckets)]
     splits = g.groupBy(*keys).agg(
         F.percentile_approx(F.col(value).cast("double"), probs, accuracy).alias("_splits"))
+    # The bucket totals and the rows must use the same split points; a sketch merged in a different
+    # order could move them, so the (keys x buckets) split table is materialised once.
+    splits = cut_lineage(splits)
     if keys:
         # one row per key; AQE broadcasts it when it is under the size threshold
         joined = g.join(splits, list(keys))
