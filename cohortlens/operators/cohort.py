@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cohortlens.functions.columns import safe_div
 from cohortlens.functions.distributions import chi2_sf, normal_two_sided_p
 from cohortlens.operators.prefix import collapse_by_value, running_by_value
+from cohortlens.operators.scale import with_scalars
 
 
 def _hi(label: str):
@@ -149,9 +150,9 @@ def chi2_test(df: DataFrame, category: str, label: str = "label", groups: Sequen
                                       F.sum(F.lit(1.0) / F.col("r")).alias("_inv_r"))
     cstat = cols.groupBy(*groups).agg(F.count(F.lit(1)).alias("n_labels"),
                                       F.sum(F.lit(1.0) / F.col("c")).alias("_inv_c"))
-    marg = rstat.join(cstat, groups) if groups else rstat.crossJoin(F.broadcast(cstat))  # one row each
+    marg = rstat.join(cstat, groups) if groups else with_scalars(rstat, cstat)  # one row each
     full = cells.join(rows, [*groups, category]).join(cols, [*groups, label])
-    full = full.join(marg, groups) if groups else full.crossJoin(F.broadcast(marg))
+    full = full.join(marg, groups) if groups else with_scalars(full, marg)
     e = F.col("r") * F.col("c") / F.col("n")
     dev = F.abs(F.col("o") - e)
     stat = full.groupBy(*groups, "n", "n_categories", "n_labels", "_inv_r", "_inv_c").agg(

@@ -51,7 +51,7 @@ def _attach_splits(g: DataFrame, keys: Sequence[str], value: str, buckets: int,
         # one row per key; AQE broadcasts it when it is under the size threshold
         joined = g.join(splits, list(keys))
     else:
-        joined = g.crossJoin(F.broadcast(splits))  # global aggregate: exactly one row
+        joined = g.withColumn("_splits", splits.select("_splits").scalar())  # one row: scalar subquery
     v = F.col(value).cast("double")
     bucket = F.coalesce(F.size(F.filter("_splits", lambda s: s < v)), F.lit(0))
     return joined.withColumn("_bucket", bucket).drop("_splits")

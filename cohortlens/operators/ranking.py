@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.columns import safe_div
 from cohortlens.operators.prefix import collapse_by_value, rank_rows, running_by_value
+from cohortlens.operators.scale import with_scalars
 
 
 def curve_table(df: DataFrame, score: str, label: str, keys: Sequence[str] = (),
@@ -73,7 +74,7 @@ def top_fraction(df: DataFrame, score: str, label: str, id_col: str, ks: Sequenc
     d = df.select(*keys, score, label, id_col).where(F.col(score).isNotNull())
     ranked = rank_rows(d, [F.col(score).desc(), F.col(id_col).asc(), F.col(label).desc()], keys, buckets)
     sizes = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("long")).alias("_np"))
-    j = ranked.join(sizes, keys) if keys else ranked.crossJoin(F.broadcast(sizes))  # one row when global
+    j = ranked.join(sizes, keys) if keys else with_scalars(ranked, sizes)  # one row when global
     aggs = []
     for k in ks:
         m = F.greatest(F.lit(1), F.ceil(F.lit(float(k)) * F.col("_n")))
@@ -102,7 +103,7 @@ def evaluate_all(df: DataFrame, score: str, label: str, id_col: str, keys: Seque
     keys = list(keys)
     thr = _threshold_metrics(curve_table(df, score, label, keys, buckets), keys)
     top = top_fraction(df, score, label, id_col, ks, keys, buckets)
-    j = thr.join(top, keys) if keys else thr.crossJoin(top)  # both sides are one row when global
+    j = thr.join(top, keys) if keys else with_scalars(thr, top)  # both sides are one row when global
     cols = ["roc_auc", "pr_auc"] + [c for k in ks for c in (f"prec_{_k_name(k)}", f"capt_{_k_name(k)}")]
     if with_ks:
         cols.append("ks")
@@ -165,7 +166,7 @@ def precision_at_k_by_group(df: DataFrame, group_cols: Sequence[str], score: str
     top = top_fraction(stacked, score, label, id_col, (k,), ["factor", "grp"], buckets)
     sizes = stacked.groupBy("factor", "grp").agg(F.count(F.lit(1)).alias("n"))
     base = df.agg(F.avg((F.col(label) == 1).cast("double")).alias("_base"))  # one row
-    res = top.join(sizes, ["factor", "grp"]).where(F.col("n") >= min_n).crossJoin(F.broadcast(base))
+    res = with_scalars(top.join(sizes, ["factor", "grp"]).where(F.col("n") >= min_n), base)
     return res.select("factor", "grp", F.col(f"prec_{name}"),
                       ((F.col(f"prec_{name}") - F.col("_base")) * 100.0).alias("uplift_vs_base_pp"), "n")
 

@@ -14,14 +14,16 @@ from pyspark.sql import functions as F
 from cohortlens.functions.columns import clip, safe_div
 
 
-def attach_scalars(df: DataFrame, *aggs: Column) -> DataFrame:
-    """Attach global aggregates of ``df`` to each of its rows.
+def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Add every column of a one-row frame (a global aggregate) to each row of ``df`` as a scalar
+    subquery: computed once, inlined as a value, no join. Several columns of the same aggregate are
+    merged into one subquery by the optimizer."""
+    return df.select("*", *[one_row.select(F.col(c)).scalar().alias(c) for c in one_row.columns])
+
 
-    The right side is ``df.agg(...)`` with no grouping key, so it has exactly one row: the broadcast
-    is size-bounded by construction and the join is a one-row nested loop, not a pairing of rows.
-    """
-    stats = df.agg(*aggs)
-    return df.crossJoin(F.broadcast(stats))
+def attach_scalars(df: DataFrame, *aggs: Column) -> DataFrame:
+    """Attach global aggregates of ``df`` (no grouping key, so exactly one row) to each of its rows."""
+    return with_scalars(df, df.agg(*aggs))
 
 
 def _stats(c: str, prefix: str):

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.functions.columns import safe_div
-from cohortlens.operators.scale import attach_scalars, minmax_expr, scale_columns, z_expr
+from cohortlens.operators.scale import attach_scalars, minmax_expr, scale_columns, with_scalars, z_expr
 from cohortlens.session import cut_lineage
 
 # --- fixed values (v1 rule) ---------------------------------------------------------------------
@@ -54,7 +54,7 @@ def strengths_component_v1(strengths: DataFrame, weights: dict = THEME_WEIGHTS_V
     held = pairs.join(F.broadcast(wf), "theme")  # only weighted themes
     tstat = held.groupBy("theme", "weight").agg(F.count(F.lit(1)).alias("_k"))  # <= #weighted themes rows
     n_emp = emp.agg(F.count(F.lit(1)).alias("_E"))  # one row
-    tstat = tstat.crossJoin(F.broadcast(n_emp))
+    tstat = with_scalars(tstat, n_emp)
     p = safe_div(F.col("_k"), F.col("_E"))
     sd = F.sqrt(p * (F.lit(1.0) - p))
     tstat = tstat.select("theme", "weight",
@@ -63,7 +63,7 @@ def strengths_component_v1(strengths: DataFrame, weights: dict = THEME_WEIGHTS_V
     base = tstat.agg(F.coalesce(F.sum("_base_t"), F.lit(0.0)).alias("_base"))  # one row
     steps = pairs.join(F.broadcast(tstat.select("theme", "_step")), "theme") \
                  .groupBy("employee_id").agg(F.sum("_step").alias("_s"))
-    out = emp.join(steps, "employee_id", "left").crossJoin(F.broadcast(base))
+    out = with_scalars(emp.join(steps, "employee_id", "left"), base)
     return out.select("employee_id", (F.col("_base") + F.coalesce(F.col("_s"), F.lit(0.0))).alias("str_score"))
 
 
