@@ -27,6 +27,8 @@ FK_DIMS = {"company_id": "dim_companies", "area_id": "dim_areas", "position_id":
            "department_id": "dim_departments", "division_id": "dim_divisions",
            "directorate_id": "dim_directorates", "grade_id": "dim_grades", "education_id": "dim_education",
            "major_id": "dim_majors"}
+# yearly facts are partitioned by year, so a filter on year prunes whole folders
+PARTITION_BY = {"performance_yearly": ("year",), "competencies_yearly": ("year",)}
 LOAD_ORDER = (*[f"dim_{d}" for d in DIMENSIONS], "dim_competency_pillars", "employees", "profiles_psych",
               "papi_scores", "strengths", "performance_yearly", "competencies_yearly")
 
@@ -88,8 +90,8 @@ def build_core(spark: SparkSession, staging_dir: str, core_dir: str, tables: Ite
         target_path = os.path.join(core_dir, t)
         existing = read_or_empty(spark, target_path, CORE[t])
         merged = cut_lineage(merge.upsert_by_key(existing, cleaned, PRIMARY_KEYS[t]))
-        merge.write_table(merged, target_path)
-        result[t] = spark.read.parquet(target_path)
+        merge.write_table(merged, target_path, PARTITION_BY.get(t, ()))
+        result[t] = spark.read.parquet(target_path).select(*[f.name for f in CORE[t].fields])
     return result
 
 

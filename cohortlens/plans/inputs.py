@@ -87,3 +87,64 @@ class Bundle:
     @cached_property
     def pillar_labels(self) -> DataFrame:
         return fx.dim_frame(self.spark, fx.PILLAR_LABELS, "pillar_code", "pillar_label")
+
+
+class CoreBundle(Bundle):
+    """The same analyses over real core tables (e.g. the output of ``plans.etl.build_core``) instead of
+    the fixture model: ``tables`` maps core table names to DataFrames."""
+
+    def __init__(self, spark: SparkSession, tables: dict):
+        super().__init__(spark, "")
+        self.tables = tables
+
+    def _t(self, name: str) -> DataFrame:
+        return self.tables[name]
+
+    @cached_property
+    def employees(self) -> DataFrame:
+        return self._t("employees")
+
+    @cached_property
+    def performance(self) -> DataFrame:
+        p = self._t("performance_yearly").select("employee_id", "year", "rating")
+        return p if "src_id" in p.columns else p.withColumn("src_id", F.lit(0).cast("long"))
+
+    @cached_property
+    def competencies(self) -> DataFrame:
+        return self._t("competencies_yearly").select("employee_id", "pillar_code", "year", "score")
+
+    @cached_property
+    def papi(self) -> DataFrame:
+        return self._t("papi_scores").select("employee_id", "scale_code", "score")
+
+    @cached_property
+    def strengths(self) -> DataFrame:
+        return self._t("strengths").select("employee_id", "theme", "rank")
+
+    @cached_property
+    def psych(self) -> DataFrame:
+        p = self._t("profiles_psych")
+        num = ("pauli", "faxtor", "iq", "gtq", "tiki")
+        return p.select("employee_id", *[F.col(c).cast("double").alias(c) if c in num else F.col(c)
+                                         for c in p.columns if c != "employee_id"])
+
+    @cached_property
+    def employees_org(self) -> DataFrame:
+        """Star join: employee ids -> grade, education and major names from the core dimensions."""
+        e = self.employees
+        for dim, key, name in (("dim_grades", "grade_id", "grade"), ("dim_education", "education_id", "education"),
+                               ("dim_majors", "major_id", "major")):
+            if dim in self.tables:
+                # dimensions are small reference tables; AQE broadcasts them after measuring
+                d = self._t(dim).select(F.col(key), F.col("name").alias(name))
+                e = e.join(d, key, "left")
+            else:
+                e = e.withColumn(name, F.lit(None).cast("string"))
+        return e.select("employee_id", "fullname", "education", "grade", "major", "years_of_service_months",
+                        "grade_id", "education_id", "area_id")
+
+    @cached_property
+    def pillar_labels(self) -> DataFrame:
+        if "dim_competency_pillars" in self.tables:
+            return self._t("dim_competency_pillars").select("pillar_code", "pillar_label")
+        return super().pillar_labels

@@ -47,8 +47,14 @@ def comp_component_v2(comp_latest: DataFrame, weights: DataFrame) -> DataFrame:
     return out.select("employee_id", F.col("comp_score").cast("double").alias("comp_score"))
 
 
-def theme_hit_share(strengths: DataFrame, themes=SUCCESS_THEMES, divisor: float = 5.0) -> DataFrame:
-    """employee_id, str_score = (# rows whose theme is a success theme) / 5 (no rank filter)."""
+def theme_hit_share(strengths: DataFrame, themes=SUCCESS_THEMES, divisor: float = 5.0,
+                    max_rank: int | None = None) -> DataFrame:
+    """employee_id, str_score = (# rows whose theme is a success theme) / 5.
+
+    No rank filter by default (as the rule is stated, more than 5 rows can exceed 1); ``max_rank``
+    keeps only rows with rank <= max_rank."""
+    if max_rank is not None:
+        strengths = strengths.where(F.col("rank") <= max_rank)
     hit = F.coalesce(F.col("theme").isin(*themes), F.lit(False)).cast("long")
     return strengths.groupBy("employee_id").agg((F.sum(hit) / F.lit(divisor)).alias("str_score"))
 

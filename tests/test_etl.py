@@ -46,3 +46,39 @@ def test_build_core_and_upsert(spark, tmp_path):
     assert rep[("null_fk", "company_id")] == 2
     assert rep[("orphan_employee", "performance_yearly")] == 1  # e3 is not an employee
     assert rep[("duplicate_key", "performance_yearly")] == 0
+
+
+def test_reports_on_core_tables(spark, tmp_path):
+    """Reports and scores run unchanged over real core tables built from CSV."""
+    from cohortlens.plans import reports, score_v2 as v2
+    from cohortlens.plans.inputs import CoreBundle
+
+    stg = tmp_path / "stg"
+    stg.mkdir()
+    core = str(tmp_path / "core")
+    _write(stg, "dim_grades", "grade_id,name\n1,III\n2,IV\n")
+    _write(stg, "employees", "employee_id,fullname,nip,company_id,area_id,position_id,department_id,division_id,"
+           "directorate_id,grade_id,education_id,major_id,years_of_service_months\n"
+           + "".join(f"e{i},N{i},n{i},,,,,,,{1 + i % 2},,,{i * 7}\n" for i in range(40)))
+    _write(stg, "performance_yearly", "employee_id,rating,year\n" + "".join(f"e{i},{1 + i % 5},2023\n" for i in range(40)))
+    _write(stg, "competencies_yearly", "employee_id,score,pillar_code,year\n"
+           + "".join(f"e{i},{1 + (i * 3) % 5},{c},2023\n" for i in range(40) for c in ("SEA", "CEX")))
+    _write(stg, "strengths", "employee_id,rank,theme\n" + "".join(f"e{i},1,{'Context' if i % 3 else 'Learner'}\n"
+                                                                  for i in range(40)))
+    _write(stg, "papi_scores", "employee_id,scale_code,score\n" + "".join(f"e{i},Papi_P,{i % 9}\n" for i in range(40)))
+    _write(stg, "profiles_psych", "employee_id,pauli,faxtor,disc,disc_word,mbti,iq,gtq,tiki\n"
+           + "".join(f"e{i},{i / 3:.2f},{50 - i},{'si' if i % 2 else ''},{'' if i % 2 else 'Dominant-Steadiness'},"
+                     f"{'ENTP' if i % 2 else 'isfj'},100,20,5\n" for i in range(40)))
+    tables = ["dim_grades", "employees", "performance_yearly", "competencies_yearly", "strengths",
+              "papi_scores", "profiles_psych"]
+    b = CoreBundle(spark, build_core(spark, str(stg), core, tables))
+    comp = {r.pillar_code: r for r in reports.report_competency(b).collect()}
+    assert set(comp) == {"SEA", "CEX"} and comp["SEA"].n_high + comp["SEA"].n_non == 40
+    ctx = {(r.factor, r.category) for r in reports.report_contextual(b).collect()}
+    assert ("grade", "III") in ctx and ("grade", "IV") in ctx
+    parts = v2.score_v2_parts(b.comp_latest, b.strengths, b.psych_fixed, b.papi_wide(["Papi_P", "Papi_W"]),
+                              v2.weights_frame(spark, v2.COMP_WEIGHTS_V2))
+    s = v2.success_score_v2(parts).collect()
+    assert len(s) == 40 and min(r.success_v2 for r in s) == 0.0 and max(r.success_v2 for r in s) == 1.0
+    disc = {r.employee_id: r.disc for r in b.psych_fixed.collect()}
+    assert disc["e1"] == "SI" and disc["e0"] == "DS"
