@@ -14,6 +14,7 @@ from cohortlens.functions.columns import safe_div
 from cohortlens.functions.distributions import chi2_sf, normal_two_sided_p
 from cohortlens.operators.prefix import collapse_by_value, running_by_value
 from cohortlens.operators.scale import with_scalars
+from cohortlens.session import cut_lineage
 
 
 def _hi(label: str):
@@ -50,7 +51,13 @@ def mann_whitney_u(long: DataFrame, metric: str = "metric", value: str = "value"
     Exact average ranks come from the value-collapsed table and a distributed running count.
     """
     g = collapse_by_value(long.select(metric, value, label), [metric], value, label)
-    r = running_by_value(g, [metric], value, ("n",), buckets=buckets)
+    return mann_whitney_collapsed(g, metric, value, buckets)
+
+
+def mann_whitney_collapsed(g: DataFrame, metric: str, value: str, buckets: int | None = None,
+                           materialized: bool = False) -> DataFrame:
+    """Mann-Whitney U from a collapsed table (metric, value, pos, n)."""
+    r = running_by_value(g, [metric], value, ("n",), buckets=buckets, materialized=materialized)
     before = F.col("cum_n") - F.col("n")
     rank = before + (F.col("n") + 1) / 2.0
     s = r.groupBy(metric).agg(
@@ -78,11 +85,36 @@ def _mwu_cols():
             p.alias("p_mwu"), F.col("n_high"), (F.col("_N") - F.col("n_high")).alias("n_non")]
 
 
+def cohort_compare_collapsed(g: DataFrame, metric: str, value: str) -> DataFrame:
+    """cohort_compare from the collapsed table (metric, value, pos, n): cohort sums give the means,
+    then a second pass over the (small) collapsed table gives sum n * (v - mean)^2 per cohort, which is
+    numerically stable (no sum-of-squares cancellation)."""
+    v = F.col(value).cast("double")
+    pos, neg = F.col("pos"), F.col("n") - F.col("pos")
+    s1 = g.groupBy(metric).agg(F.sum(pos).alias("n_high"), F.sum(neg).alias("n_non"),
+                               F.sum(v * pos).alias("_sh"), F.sum(v * neg).alias("_sn"))
+    s1 = s1.withColumn("mean_high", safe_div(F.col("_sh"), F.col("n_high"))) \
+           .withColumn("mean_non", safe_div(F.col("_sn"), F.col("n_non")))
+    dev = g.join(s1.select(metric, "mean_high", "mean_non"), metric).groupBy(metric).agg(
+        F.sum(pos * (v - F.col("mean_high")) ** 2).alias("_m2h"),
+        F.sum(neg * (v - F.col("mean_non")) ** 2).alias("_m2n"))
+    a = s1.join(dev, metric)
+    nh, nn = F.col("n_high"), F.col("n_non")
+    pooled = F.sqrt(safe_div(F.col("_m2h") + F.col("_m2n"), nh + nn - 2))
+    d = (F.when((nh < 2) | (nn < 2), F.lit(None).cast("double"))
+         .when(pooled.isNull() | (pooled == 0) | F.isnan(pooled), F.lit(0.0))
+         .otherwise(safe_div(F.col("mean_high") - F.col("mean_non"), pooled)))
+    return a.select(metric, "mean_high", "mean_non", (F.col("mean_high") - F.col("mean_non")).alias("delta"),
+                    d.alias("cohens_d"), "n_high", "n_non")
+
+
 def cohort_report(long: DataFrame, metric: str = "metric", value: str = "value", label: str = "label",
                   buckets: int | None = None) -> DataFrame:
-    """cohort_compare + p_mwu for all metrics (two aggregates over the same input, joined on metric)."""
-    base = cohort_compare(long, metric, value, label)
-    mw = mann_whitney_u(long, metric, value, label, buckets).select(metric, "p_mwu")
+    """cohort_compare + p_mwu for all metrics from ONE scan of the input: both are computed from the
+    value-collapsed table (metric, value, positives, rows)."""
+    g = cut_lineage(collapse_by_value(long.select(metric, value, label), [metric], value, label))
+    base = cohort_compare_collapsed(g, metric, value)
+    mw = mann_whitney_collapsed(g, metric, value, buckets, materialized=True).select(metric, "p_mwu")
     return base.join(mw, metric, "left")
 
 

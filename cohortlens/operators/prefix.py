@@ -58,13 +58,18 @@ def _attach_splits(g: DataFrame, keys: Sequence[str], value: str, buckets: int,
 
 
 def running_by_value(g: DataFrame, keys: Sequence[str], value: str, measures: Sequence[str] = ("pos", "n"),
-                     buckets: int | None = None, accuracy: int | None = None) -> DataFrame:
+                     buckets: int | None = None, accuracy: int | None = None,
+                     materialized: bool = False) -> DataFrame:
     """Add ``cum_<m>`` (running sum over ascending value, inclusive) and ``tot_<m>`` per key.
 
     ``g`` must hold one row per (keys, value). Descending running sums follow as
-    ``tot_m - cum_m + m``.
+    ``tot_m - cum_m + m``. ``g`` feeds the split sketch, the bucket totals and the rows, so unless the
+    caller already did (``materialized=True``) it is checkpointed once: the input behind it is scanned
+    and aggregated a single time.
     """
     keys = list(keys)
+    if not materialized:
+        g = cut_lineage(g)
     b = buckets or default_buckets(g.sparkSession)
     # the sketch only balances buckets: a rank error well below 1/b of the distinct values is enough
     gb = _attach_splits(g, keys, value, b, accuracy or max(1000, 20 * b))
