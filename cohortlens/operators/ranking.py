@@ -67,13 +67,15 @@ def _k_name(k: float) -> str:
 
 
 def top_fraction(df: DataFrame, score: str, label: str, id_col: str, ks: Sequence[float] = (0.1, 0.2),
-                 keys: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+                 keys: Sequence[str] = (), buckets: int | None = None, with_counts: bool = False) -> DataFrame:
     """precision@k and capture@k per key for every k: top m = max(1, ceil(k*n)) rows by
-    (score desc, id asc). Columns: keys..., prec_<k>, capt_<k> (capture NULL without positives)."""
+    (score desc, id asc). Columns: keys..., prec_<k>, capt_<k> (capture NULL without positives),
+    plus n and n_pos when ``with_counts``. Group sizes come from the ranked rows (max rank), so the
+    input is read once."""
     keys = list(keys)
     d = df.select(*keys, score, label, id_col).where(F.col(score).isNotNull())
     ranked = rank_rows(d, [F.col(score).desc(), F.col(id_col).asc(), F.col(label).desc()], keys, buckets)
-    sizes = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("long")).alias("_np"))
+    sizes = ranked.groupBy(*keys).agg(F.max("rank").alias("_n"), F.sum(F.col(label).cast("long")).alias("_np"))
     j = ranked.join(sizes, keys) if keys else with_scalars(ranked, sizes)  # one row when global
     aggs = []
     for k in ks:
@@ -86,6 +88,8 @@ def top_fraction(df: DataFrame, score: str, label: str, id_col: str, ks: Sequenc
         m = F.least(F.greatest(F.lit(1), F.ceil(F.lit(float(k)) * F.col("_n"))), F.col("_n"))
         out.append(safe_div(F.col(f"_h{name}"), m).alias(f"prec_{name}"))
         out.append(F.when(F.col("_np") > 0, safe_div(F.col(f"_h{name}"), F.col("_np"))).alias(f"capt_{name}"))
+    if with_counts:
+        out += [F.col("_n").alias("n"), F.col("_np").alias("n_pos")]
     return a.select(*keys, *out)
 
 
@@ -163,10 +167,9 @@ def precision_at_k_by_group(df: DataFrame, group_cols: Sequence[str], score: str
         F.explode(F.array(*[F.struct(F.lit(g).alias("factor"), F.col(g).cast("string").alias("grp"))
                             for g in group_cols])).alias("_fg"),
     ).select("_fg.factor", "_fg.grp", score, label, id_col).where(F.col("grp").isNotNull())
-    top = top_fraction(stacked, score, label, id_col, (k,), ["factor", "grp"], buckets)
-    sizes = stacked.groupBy("factor", "grp").agg(F.count(F.lit(1)).alias("n"))
+    top = top_fraction(stacked, score, label, id_col, (k,), ["factor", "grp"], buckets, with_counts=True)
     base = df.agg(F.avg((F.col(label) == 1).cast("double")).alias("_base"))  # one row
-    res = with_scalars(top.join(sizes, ["factor", "grp"]).where(F.col("n") >= min_n), base)
+    res = with_scalars(top.where(F.col("n") >= min_n), base)
     return res.select("factor", "grp", F.col(f"prec_{name}"),
                       ((F.col(f"prec_{name}") - F.col("_base")) * 100.0).alias("uplift_vs_base_pp"), "n")
 
