@@ -156,7 +156,7 @@ def share_by_cohort(df: DataFrame, category: str, label: str = "label", scale: f
     """
     d = df.where(F.col(category).isNotNull())  # NULL categories are not counted (as a pandas groupby)
     counts = d.groupBy(category, label).agg(F.count(F.lit(1)).alias("n"))
-    totals = d.groupBy(label).agg(F.count(F.lit(1)).alias("total"))  # one row per label value (0/1)
+    totals = counts.groupBy(label).agg(F.sum("n").alias("total"))  # from the counts: one row per label value
     pct = counts.join(F.broadcast(totals), label).withColumn("pct", safe_div(F.col("n"), F.col("total")) * F.lit(scale))
     wide = pct.groupBy(category).agg(
         F.coalesce(F.max(F.when(F.col(label) == 0, F.col("pct"))), F.lit(0.0)).alias("pct_nonhigh"),

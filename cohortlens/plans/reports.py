@@ -96,8 +96,11 @@ def report_mbti_dimensions(b: Bundle) -> DataFrame:
         F.avg((F.col("label") == 1).cast("double")).alias("pct_high"),
         F.avg((F.col("label") != 1).cast("double")).alias("pct_non"),
         F.count(F.lit(1)).alias("n"))
-    ok = long.groupBy("dimension").agg(F.countDistinct("letter").alias("_nl"), F.countDistinct("label").alias("_nb")) \
-             .where((F.col("_nl") >= 2) & (F.col("_nb") >= 2)).select("dimension")
+    # a dimension is reported when it has >= 2 letters and both labels; decided from the rates themselves
+    ok = rates.groupBy("dimension").agg(
+        F.count(F.lit(1)).alias("_nl"),
+        F.sum(F.col("pct_high") * F.col("n")).alias("_hi"), F.sum(F.col("pct_non") * F.col("n")).alias("_lo")) \
+        .where((F.col("_nl") >= 2) & (F.col("_hi") > 0) & (F.col("_lo") > 0)).select("dimension")
     r = rates.join(ok, "dimension", "left_semi")
     return r.select("dimension", "letter", "pct_high", "pct_non", "n") \
             .orderBy("dimension", F.instr(F.col("dimension"), F.col("letter")))
