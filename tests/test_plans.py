@@ -22,8 +22,9 @@ def test_single_partition_exchanges_only_carry_aggregates(spark, sf_small):
         df.collect()
         lines = _plan(df).split("\n")
         for i, line in enumerate(lines):
-            if "Exchange SinglePartition" in line:
-                child = lines[i + 1]
+            if "Exchange SinglePartition" in line and "ReusedExchange" not in line:
+                # the next operator line (scalar subqueries print AQE "== ... Plan ==" headers in between)
+                child = next(x for x in lines[i + 1:] if "==" not in x and x.strip())
                 assert re.search(r"(Object)?HashAggregate\(", child), (name, child)
 
 
