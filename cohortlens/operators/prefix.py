@@ -71,8 +71,9 @@ def running_by_value(g: DataFrame, keys: Sequence[str], value: str, measures: Se
     if not materialized:
         g = cut_lineage(g)
     b = buckets or default_buckets(g.sparkSession)
-    # the sketch only balances buckets: a rank error well below 1/b of the distinct values is enough
-    gb = _attach_splits(g, keys, value, b, accuracy or max(1000, 20 * b))
+    # the sketch only balances buckets: a rank error well below 1/b of the distinct values is enough;
+    # capped so a cluster-sized bucket count keeps each per-key sketch at a few MB
+    gb = _attach_splits(g, keys, value, b, accuracy or min(max(1000, 20 * b), 100_000))
     # per-bucket totals: at most (#keys x b) rows
     btot = gb.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(f"_b_{m}") for m in measures])
     wk = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))  # tiny: #buckets rows
