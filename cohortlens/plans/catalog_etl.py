@@ -206,15 +206,20 @@ def q_distinct_on(spark, sf_dir):
 
 
 # ---- upsert ----------------------------------------------------------------------------------------
-UPSERT_TARGET = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 2 = 0"
+# An incremental load split by business date (no id subsets): the target holds the orders placed
+# before LOAD_CUT; the incoming batch re-delivers every order placed from BATCH_FROM on with a new
+# status and price. Orders in [BATCH_FROM, LOAD_CUT) are updates, later ones are inserts.
+LOAD_CUT, BATCH_FROM = "1999-01-01", "1998-07-01"
+UPSERT_TARGET = ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders "
+                 f"WHERE o_orderdate < TIMESTAMP '{LOAD_CUT}'")
 UPSERT_INCOMING = ("SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice + 1 AS o_totalprice "
-                   "FROM orders WHERE o_orderkey % 5 = 0")
+                   f"FROM orders WHERE o_orderdate >= TIMESTAMP '{BATCH_FROM}'")
 
 
 def _upsert_inputs(spark, sf_dir):
-    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"])
-    target = o.where(F.col("o_orderkey") % 2 == 0)
-    incoming = o.where(F.col("o_orderkey") % 5 == 0).select(
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
+    target = o.where(F.col("o_orderdate") < LOAD_CUT).drop("o_orderdate")  # pushed to the Parquet scan
+    incoming = o.where(F.col("o_orderdate") >= BATCH_FROM).select(
         "o_orderkey", "o_custkey", F.lit("U").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice"))
     return target, incoming
 
@@ -236,12 +241,17 @@ def q_unique(spark, sf_dir):
                                       ["l_orderkey", "l_linenumber"])
 
 
+# Late-arriving dimension: the order dimension as loaded (orders placed before DIM_CUT) against every
+# line item; lines of later orders are the orphans.
+DIM_CUT = "2000-01-01"
+
+
 @query("quality_orphans", "l_orderkey:l, l_linenumber:i",
        "SELECT l_orderkey, l_linenumber FROM lineitem l WHERE l_orderkey IS NOT NULL AND NOT EXISTS ("
-       "SELECT 1 FROM orders o WHERE o.o_orderkey % 3 <> 0 AND o.o_orderkey = l.l_orderkey)")
+       f"SELECT 1 FROM orders o WHERE o.o_orderdate < TIMESTAMP '{DIM_CUT}' AND o.o_orderkey = l.l_orderkey)")
 def q_orphans(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"])
-    dim = read_table(spark, sf_dir, "orders", ["o_orderkey"]).where(F.col("o_orderkey") % 3 != 0)
+    dim = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"]).where(F.col("o_orderdate") < DIM_CUT)
     return quality.quality_orphans(li, dim, "l_orderkey", "o_orderkey")
 
 
