@@ -6,7 +6,6 @@ running sums; precision/capture at K rank rows exactly (ties broken by id ascend
 
 from __future__ import annotations
 
-
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 from cohortlens.functions.columns import safe_div
 from cohortlens.operators.prefix import collapse_by_value, rank_rows, running_by_value
 from cohortlens.operators.scale import with_scalars
+from cohortlens.session import cut_lineage
 
 
 def curve_table(df: DataFrame, score: str, label: str, keys: Sequence[str] = (),
@@ -67,29 +67,58 @@ def _k_name(k: float) -> str:
 
 
 def top_fraction(df: DataFrame, score: str, label: str, id_col: str, ks: Sequence[float] = (0.1, 0.2),
-                 keys: Sequence[str] = (), buckets: int | None = None, with_counts: bool = False) -> DataFrame:
+                 keys: Sequence[str] = (), buckets: int | None = None, with_counts: bool = False,
+                 curve: DataFrame | None = None) -> DataFrame:
     """precision@k and capture@k per key for every k: top m = max(1, ceil(k*n)) rows by
-    (score desc, id asc). Columns: keys..., prec_<k>, capt_<k> (capture NULL without positives),
-    plus n and n_pos when ``with_counts``. Group sizes come from the ranked rows (max rank), so the
-    input is read once."""
+    (score desc, id asc, label desc). Columns: keys..., prec_<k>, capt_<k> (capture NULL without
+    positives), plus n and n_pos when ``with_counts``. Rows with a NULL score or NULL key are left out.
+
+    Read off the value-collapsed curve table (``curve``, built here when not given): for each k the cut
+    is the one distinct score whose descending cumulative count first reaches m; every row above it is
+    in the top, and of the tie group at the cut the first r = m - (rows above) rows by id are. Only a
+    tie group holding both labels needs those r rows found, so only its rows are ranked by id, with the
+    distributed ``rank_rows`` (a hot tied value is split by id over range partitions).
+    """
     keys = list(keys)
     d = df.select(*keys, score, label, id_col).where(F.col(score).isNotNull())
-    ranked = rank_rows(d, [F.col(score).desc(), F.col(id_col).asc(), F.col(label).desc()], keys, buckets)
-    sizes = ranked.groupBy(*keys).agg(F.max("rank").alias("_n"), F.sum(F.col(label).cast("long")).alias("_np"))
-    j = ranked.join(sizes, keys) if keys else with_scalars(ranked, sizes)  # one row when global
-    aggs = []
-    for k in ks:
-        m = F.greatest(F.lit(1), F.ceil(F.lit(float(k)) * F.col("_n")))
-        aggs.append(F.sum(F.when(F.col("rank") <= m, F.col(label).cast("long")).otherwise(0)).alias(f"_h{_k_name(k)}"))
-    a = j.groupBy(*keys, "_n", "_np").agg(*aggs)
+    for k in keys:
+        d = d.where(F.col(k).isNotNull())
+    ct = curve if curve is not None else curve_table(d, score, label, keys, buckets)
+    for k in keys:
+        ct = ct.where(F.col(k).isNotNull())
+    karr = F.array(*[F.struct(F.lit(i).alias("_ki"), F.lit(float(k)).alias("_kv")) for i, k in enumerate(ks)])
+    x = ct.select(*keys, score, "pos", "n", "dpos", "dn", "tot_n", "tot_pos", F.explode(karr).alias("_kk"))
+    x = x.withColumn("_m", F.least(F.greatest(F.lit(1), F.ceil(F.col("_kk._kv") * F.col("tot_n"))), F.col("tot_n")))
+    above = F.col("dn") - F.col("n")
+    # exactly one distinct score per (key, k) holds the m-th row
+    cut = x.where((above < F.col("_m")) & (F.col("_m") <= F.col("dn"))).select(
+        *keys, F.col("_kk._ki").alias("_ki"), F.col(score).alias("_cut"), "_m", "tot_n", "tot_pos",
+        (F.col("_m") - above).alias("_r"), (F.col("dpos") - F.col("pos")).alias("_above_pos"),
+        F.col("pos").alias("_tie_pos"), F.col("n").alias("_tie_n"))
+    cut = cut_lineage(cut)  # <= #keys x #ks rows; read by the emptiness check, the tie join and the result
+    mixed = cut.where((F.col("_tie_pos") > 0) & (F.col("_tie_pos") < F.col("_tie_n")))
+    tie_hits = F.when(F.col("_tie_pos") == 0, F.lit(0)).when(F.col("_tie_pos") == F.col("_tie_n"), F.col("_r"))
+    if not mixed.isEmpty():
+        # distinct names on the cut side, so the join needs no qualified (self-join) references
+        m = mixed.select(*[F.col(k).alias(f"_jk{i}") for i, k in enumerate(keys)], "_ki", "_cut", "_r")
+        cond = [F.col(k) == F.col(f"_jk{i}") for i, k in enumerate(keys)] + [F.col(score) == F.col("_cut")]
+        rows = d.join(m, cond).select(*keys, "_ki", "_r", id_col, label)
+        ranked = rank_rows(rows, [F.col(id_col).asc(), F.col(label).desc()], [*keys, "_ki"], buckets)
+        tie = ranked.groupBy(*keys, "_ki").agg(
+            F.sum(F.when(F.col("rank") <= F.col("_r"), F.col(label).cast("long")).otherwise(0)).alias("_tie_hits"))
+        cut = cut.join(tie, [*keys, "_ki"], "left")
+        tie_hits = tie_hits.otherwise(F.coalesce(F.col("_tie_hits"), F.lit(0)))
+    per_k = cut.select(*keys, "_ki", "_m", "tot_n", "tot_pos", (F.col("_above_pos") + tie_hits).alias("_h"))
+    a = per_k.groupBy(*keys, "tot_n", "tot_pos").agg(
+        *[F.max(F.when(F.col("_ki") == i, F.col("_h"))).alias(f"_h{i}") for i in range(len(ks))],
+        *[F.max(F.when(F.col("_ki") == i, F.col("_m"))).alias(f"_m{i}") for i in range(len(ks))])
     out = []
-    for k in ks:
+    for i, k in enumerate(ks):
         name = _k_name(k)
-        m = F.least(F.greatest(F.lit(1), F.ceil(F.lit(float(k)) * F.col("_n"))), F.col("_n"))
-        out.append(safe_div(F.col(f"_h{name}"), m).alias(f"prec_{name}"))
-        out.append(F.when(F.col("_np") > 0, safe_div(F.col(f"_h{name}"), F.col("_np"))).alias(f"capt_{name}"))
+        out.append(safe_div(F.col(f"_h{i}"), F.col(f"_m{i}")).alias(f"prec_{name}"))
+        out.append(F.when(F.col("tot_pos") > 0, safe_div(F.col(f"_h{i}"), F.col("tot_pos"))).alias(f"capt_{name}"))
     if with_counts:
-        out += [F.col("_n").alias("n"), F.col("_np").alias("n_pos")]
+        out += [F.col("tot_n").alias("n"), F.col("tot_pos").alias("n_pos")]
     return a.select(*keys, *out)
 
 
@@ -103,10 +132,12 @@ def capture_at_k(df, score, label, id_col, k=0.1, keys=(), buckets=None) -> Data
 
 def evaluate_all(df: DataFrame, score: str, label: str, id_col: str, keys: Sequence[str] = (),
                  ks: Sequence[float] = (0.1, 0.2), with_ks: bool = True, buckets: int | None = None) -> DataFrame:
-    """roc_auc, pr_auc, prec_/capt_ for each k, and ks, one row per key."""
+    """roc_auc, pr_auc, prec_/capt_ for each k, and ks, one row per key. The threshold metrics and the
+    top fractions read one curve table (one collapse of the input)."""
     keys = list(keys)
-    thr = _threshold_metrics(curve_table(df, score, label, keys, buckets), keys)
-    top = top_fraction(df, score, label, id_col, ks, keys, buckets)
+    ct = curve_table(df, score, label, keys, buckets)
+    thr = _threshold_metrics(ct, keys)
+    top = top_fraction(df, score, label, id_col, ks, keys, buckets, curve=ct)
     j = thr.join(top, keys) if keys else with_scalars(thr, top)  # both sides are one row when global
     cols = ["roc_auc", "pr_auc"] + [c for k in ks for c in (f"prec_{_k_name(k)}", f"capt_{_k_name(k)}")]
     if with_ks:

@@ -62,3 +62,32 @@ def test_chi2_symmetric(spark):
     ab = cohort.chi2_test(df, "a", "b").collect()[0]
     ba = cohort.chi2_test(df, "b", "a").collect()[0]
     assert abs(ab.chi2 - ba.chi2) < 1e-9 and ab.dof == ba.dof and abs(ab.cramers_v - ba.cramers_v) < 1e-12
+
+
+keyed_st = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 12), st.integers(0, 1),
+                              st.integers(0, 3)), min_size=1, max_size=80)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=keyed_st)
+def test_top_fraction_keyed_string_ids_match_bruteforce(spark, rows):
+    """Per key, string ids (string order), duplicate ids with both labels, NULL keys left out:
+    top m rows by (score desc, id asc, label desc)."""
+    data = [(g, str(i), y, float(s)) for g, i, y, s in rows]
+    df = spark.createDataFrame(data, "g string, id string, label int, score double")
+    ks = (0.1, 0.5)
+    got = {r.g: r.asDict() for r in ranking.top_fraction(df, "score", "label", "id", ks, ["g"], buckets=2,
+                                                         with_counts=True).collect()}
+    groups = sorted({g for g, *_ in data if g is not None})
+    assert sorted(got) == groups
+    for g in groups:
+        rs = sorted([r for r in data if r[0] == g], key=lambda r: (-r[3], r[1], -r[2]))
+        P = sum(r[2] for r in rs)
+        assert got[g]["n"] == len(rs) and got[g]["n_pos"] == P
+        for k in ks:
+            m = min(len(rs), max(1, math.ceil(k * len(rs))))
+            hits = sum(r[2] for r in rs[:m])
+            name = int(round(k * 100))
+            assert abs(got[g][f"prec_{name}"] - hits / m) < 1e-12
+            assert got[g][f"capt_{name}"] == (None if P == 0 else hits / P) or \
+                abs(got[g][f"capt_{name}"] - hits / P) < 1e-12
