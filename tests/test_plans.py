@@ -45,3 +45,10 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["employee_id", "success_v2", "comp_score", "str_score", "psy_score", "disc_bonus"]
     assert df.count() > 0
+
+
+def test_incremental_load_cuts_reach_the_scan(spark, sf_small):
+    """The date cuts of the upsert and orphan queries are Parquet pushed filters, not row filters after the scan."""
+    for name in ("upsert_by_key", "quality_orphans"):
+        plan = _plan(E.queries()[name](spark, sf_small))
+        assert re.search(r"orders.parquet.*?PushedFilters: \[[^\]]*o_orderdate", plan, re.S), name
