@@ -1,7 +1,7 @@
 """Distributed running sums and row ranks without a global (un-partitioned) window.
 
 Two building blocks shared by the rank statistics (Mann-Whitney U, ROC-AUC, average precision, KS,
-curves) and the top-fraction metrics (precision/capture at K):
+curves) and the top-fraction metrics (precision/capture at K, which rank only the tie group at their cut):
 
 ``running_by_value``
     Input is a *collapsed* table: one row per (keys..., value) with additive measures (e.g. positives

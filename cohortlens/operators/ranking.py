@@ -1,7 +1,8 @@
 """Exact ranking metrics of a score against a 0/1 label, per optional key (metric / group / grid id).
 
-All threshold metrics run on the value-collapsed table (one row per distinct score) with distributed
-running sums; precision/capture at K rank rows exactly (ties broken by id ascending).
+All metrics run on the value-collapsed table (one row per distinct score) with distributed running
+sums; precision/capture at K read their cut from it and rank by id (ties broken by id ascending) only
+the rows of a tie group, holding both labels, that the cut splits.
 """
 
 from __future__ import annotations
