@@ -86,10 +86,11 @@ def fx_papi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fx_strengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = _lineitem_orders(spark, sf_dir, ["l_partkey"])
-    counted = j.select(
-        F.col("o_custkey").cast("string").alias("employee_id"),
-        F.element_at(_arr(FIXTURE_THEMES), (F.col("l_partkey") % 12 + 1).cast("int")).alias("theme"),
-    ).groupBy("employee_id", "theme").agg(F.count(F.lit(1)).alias("n"))
+    # counted on the numeric keys (customer, theme index) and named afterwards: both maps are one-to-one
+    counted = j.groupBy("o_custkey", (F.col("l_partkey") % 12 + 1).cast("int").alias("_t")) \
+        .agg(F.count(F.lit(1)).alias("n")) \
+        .select(F.col("o_custkey").cast("string").alias("employee_id"),
+                F.element_at(_arr(FIXTURE_THEMES), F.col("_t")).alias("theme"), "n")
     # at most 12 rows per employee after the aggregate, so the window partition is small
     w = Window.partitionBy("employee_id").orderBy(F.col("n").desc(), F.col("theme"))
     return counted.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= 5) \
