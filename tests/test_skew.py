@@ -70,3 +70,26 @@ def test_rank_statistics_hot_value(spark):
     for k, name in ((0.1, "prec_10"), (0.5, "prec_50")):
         m = max(1, -(-int(k * 1000000) * len(rows) // 1000000))
         assert abs(getattr(top, name) - sum(r[2] for r in order[:m]) / m) < 1e-12
+
+
+def test_top_fraction_hot_tie_per_key_both_cuts_inside(spark):
+    """Per key, a third of all rows share one score and both cuts (10 %, 50 %) fall inside that mixed tie
+    group; string ids with duplicates. The tie rows are ranked over several range partitions."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(3000):
+        g = "hot" if i % 3 == 0 else rng.choice(["x", "y"])
+        s = 7.0 if g == "hot" else float(rng.randint(0, 40))
+        rows.append((g, f"id{rng.randint(0, 800)}", 1 if rng.random() < 0.4 else 0, s))
+    df = spark.createDataFrame(rows, "g string, id string, label int, score double")
+    got = {r.g: r for r in ranking.top_fraction(df, "score", "label", "id", (0.1, 0.5), ["g"], buckets=6,
+                                                with_counts=True).collect()}
+    for g in ("hot", "x", "y"):
+        rs = sorted([r for r in rows if r[0] == g], key=lambda r: (-r[3], r[1], -r[2]))
+        P = sum(r[2] for r in rs)
+        assert got[g].n == len(rs) and got[g].n_pos == P
+        for k, name in ((0.1, "10"), (0.5, "50")):
+            m = max(1, -(-int(k * 1000000) * len(rs) // 1000000))
+            hits = sum(r[2] for r in rs[:m])
+            assert abs(getattr(got[g], f"prec_{name}") - hits / m) < 1e-12
+            assert abs(getattr(got[g], f"capt_{name}") - hits / P) < 1e-12
