@@ -136,7 +136,8 @@ def evaluate_all(df: DataFrame, score: str, label: str, id_col: str, keys: Seque
     """roc_auc, pr_auc, prec_/capt_ for each k, and ks, one row per key. The threshold metrics and the
     top fractions read one curve table (one collapse of the input)."""
     keys = list(keys)
-    ct = curve_table(df, score, label, keys, buckets)
+    # one row per (key, distinct score), read by the threshold metrics and by the top-fraction cuts
+    ct = cut_lineage(curve_table(df, score, label, keys, buckets))
     thr = _threshold_metrics(ct, keys)
     top = top_fraction(df, score, label, id_col, ks, keys, buckets, curve=ct)
     j = thr.join(top, keys) if keys else with_scalars(thr, top)  # both sides are one row when global
