@@ -199,3 +199,26 @@ def test_weight_grid():
     assert len(g) == 17
     for w in g:
         assert abs(w["competency"] + w["strengths"] + w["psychometric"] + w["context"] - 1.0) < 1e-12
+
+
+def test_top_fraction_ranks_rows_only_for_a_mixed_tie_at_the_cut(spark, monkeypatch):
+    """Distinct scores (or a single-label tie) at the cut need no row ranking; a mixed tie does."""
+    calls = []
+    orig = ranking.rank_rows
+
+    def spy(*a, **kw):
+        calls.append(1)
+        return orig(*a, **kw)
+
+    monkeypatch.setattr(ranking, "rank_rows", spy)
+    distinct = spark.createDataFrame([(i, i % 2, float(i)) for i in range(40)], "id long, label int, score double")
+    r = ranking.top_fraction(distinct, "score", "label", "id", (0.1,)).collect()[0]
+    assert calls == [] and r.prec_10 == 0.5  # top 4 by score: ids 39, 38, 37, 36
+    one_label_tie = spark.createDataFrame([(i, 1 if i >= 30 else 0, 1.0 if i >= 30 else float(i) / 100) for i in range(40)],
+                                          "id long, label int, score double")
+    assert ranking.top_fraction(one_label_tie, "score", "label", "id", (0.1,)).collect()[0].prec_10 == 1.0
+    assert calls == []
+    mixed_tie = spark.createDataFrame([(i, i % 2, 1.0 if i >= 30 else float(i) / 100) for i in range(40)],
+                                      "id long, label int, score double")
+    r = ranking.top_fraction(mixed_tie, "score", "label", "id", (0.1,)).collect()[0]
+    assert calls == [1] and r.prec_10 == 0.5  # first 4 of the tie by id: 30, 31, 32, 33
