@@ -7,8 +7,10 @@ from cohortlens.llm.mixing import op5_mixing
 from cohortlens.llm.packing import op1_packing
 from cohortlens.llm.suffix_dedup import op10_suffix_dedup
 from cohortlens.llm.token_output import op9_token_output
+from cohortlens.llm.toxicity import op6_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_jaccard_join, op5_mixing, op9_token_output, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_jaccard_join, op5_mixing, op6_toxicity,
+                                    op9_token_output, op10_suffix_dedup)}
 
 
 def queries() -> dict:
