@@ -6,11 +6,13 @@ from cohortlens.llm.jaccard_join import op2_jaccard_join
 from cohortlens.llm.language_id import op3_language_id
 from cohortlens.llm.mixing import op5_mixing
 from cohortlens.llm.packing import op1_packing
+from cohortlens.llm.quality_rules import op4_quality_rules
 from cohortlens.llm.suffix_dedup import op10_suffix_dedup
 from cohortlens.llm.token_output import op9_token_output
 from cohortlens.llm.toxicity import op6_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_jaccard_join, op3_language_id, op5_mixing, op6_toxicity,
+QUERIES = {f.__name__: f for f in (op1_packing, op2_jaccard_join, op3_language_id, op4_quality_rules,
+                                    op5_mixing, op6_toxicity,
                                     op9_token_output, op10_suffix_dedup)}
 
 
