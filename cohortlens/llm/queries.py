@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cohortlens.llm.cross_polytope import op7_nearest
 from cohortlens.llm.jaccard_join import op2_jaccard_join
 from cohortlens.llm.language_id import op3_language_id
 from cohortlens.llm.mixing import op5_mixing
@@ -12,7 +13,7 @@ from cohortlens.llm.token_output import op9_token_output
 from cohortlens.llm.toxicity import op6_toxicity
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_jaccard_join, op3_language_id, op4_quality_rules,
-                                    op5_mixing, op6_toxicity,
+                                    op5_mixing, op6_toxicity, op7_nearest,
                                     op9_token_output, op10_suffix_dedup)}
 
 
