@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cohortlens.llm import licenses
 from cohortlens.llm.cross_polytope import op7_nearest
 from cohortlens.llm.jaccard_join import op2_jaccard_join
 from cohortlens.llm.language_id import op3_language_id
@@ -14,7 +15,7 @@ from cohortlens.llm.toxicity import op6_toxicity
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_jaccard_join, op3_language_id, op4_quality_rules,
                                     op5_mixing, op6_toxicity, op7_nearest,
-                                    op9_token_output, op10_suffix_dedup)}
+                                    licenses.op8_license_scan, op9_token_output, op10_suffix_dedup)}
 
 
 def queries() -> dict:
@@ -22,4 +23,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_license_scan": licenses.oracle()}
