@@ -119,6 +119,29 @@ def _mixed(sized: DataFrame, rest: list[str], block_words: int, shard_rows: int,
     return rows.select(*rest, "size", "source_size", "target", taken.alias("taken"))
 
 
+def apply_mix(docs: DataFrame) -> DataFrame:
+    """The mix itself, with the columns of ``docs``: a row for each whole repeat and one for a part.
+
+    A part is cut after the word that fills the quota; ``n_chars``, if there is one, is set to its length. Rows of
+    size 0 are not taken.
+    """
+    columns = docs.columns
+    mixed = mix(docs.select(F.struct(*columns).alias("row"), "doc_id", "source", "text")) \
+        .where("taken > 0").select("row", "size", "taken")
+    whole = F.floor(F.col("taken") / F.col("size")).cast("int")
+    part = (F.col("taken") % F.col("size")).cast("int")
+    takes = F.filter(F.concat(F.array_repeat(F.lit(0), whole), F.array(part)), lambda x: (x > 0) | (whole > 0))
+    takes = F.when(part == 0, F.array_repeat(F.lit(0), whole)).otherwise(takes)  # 0: the whole text
+    rows = mixed.select("row", F.explode(takes).alias("words"))
+    ends = F.split(F.col("row.text"), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])", -1)
+    text = F.when(F.col("words") > 0, F.array_join(F.slice(ends, 1, F.col("words")), "")).otherwise(F.col("row.text"))
+    rows = rows.withColumn("text", text)
+    new = {"text": F.col("text"),
+           "n_chars": F.when(F.col("words") > 0, F.length("text")).otherwise(F.col("row.n_chars"))
+           .cast(docs.schema["n_chars"].dataType) if "n_chars" in columns else None}
+    return rows.select(*(new[c].alias(c) if new.get(c) is not None else F.col("row")[c].alias(c) for c in columns))
+
+
 def op5_mixing(spark, sf_dir: str) -> DataFrame:
     """Contract query: what the mix takes of every document."""
     docs = documents(spark, sf_dir, "doc_id", "source", "text")

@@ -20,7 +20,7 @@ first round of passes in each task, so that it is no single group. Context hashe
 
 Order of documents: smaller doc_id first, a null id last, then by a hash of the text. Rows equal in
 both are one document given more than once: each gets the same result and none repeats another.
-Defined cases: a null or empty text has no bytes; a text shorter than the window is kept whole; an
+Defined cases: a null or empty text has no bytes (and is empty in the result of ``cut_repeats``); a text shorter than the window is kept whole; an
 empty table gives no rows; other columns of the input are ignored.
 """
 
@@ -33,8 +33,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
-from cohortlens.llm.common import (arrow_buffer, chunks, documents, prefix_hash, small_batches, span_hash,
+from cohortlens.llm.common import (WORD, arrow_buffer, chunks, documents, prefix_hash, small_batches, span_hash,
                                    text_bytes, written)
 
 WINDOW = 100        # bytes
@@ -159,11 +161,13 @@ def _firsts(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, e[~is_first & ~again]
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """(d, t, b): the place of a document in the order and its bytes."""
+def _keyed(docs: DataFrame, carry: list[str]) -> DataFrame:
+    """(d, t, b, row): the place of a document in the order, its bytes and its other columns."""
     tag = F.xxhash64("b").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
-    return docs.select(F.col("doc_id").cast("long").alias("i"), text_bytes().alias("b")).select(
-        F.coalesce("i", F.lit(LAST)).alias("d"), F.when(F.col("i").isNull(), -1 - tag).otherwise(tag).alias("t"), "b")
+    row = F.struct(*carry) if carry else F.struct(F.lit(0).alias("none"))
+    return docs.select(F.col("doc_id").cast("long").alias("i"), text_bytes().alias("b"), row.alias("row")).select(
+        F.coalesce("i", F.lit(LAST)).alias("d"), F.when(F.col("i").isNull(), -1 - tag).otherwise(tag).alias("t"), "b",
+        "row")
 
 
 def _entries(keyed: DataFrame, window: int, gram: int, parts: int) -> DataFrame:
@@ -191,7 +195,7 @@ def _entries(keyed: DataFrame, window: int, gram: int, parts: int) -> DataFrame:
                         held, n = [], 0
             if n:
                 yield from flush(held)
-    return keyed.mapInArrow(run, BLOBS)
+    return keyed.select("d", "t", "b").mapInArrow(run, BLOBS)
 
 
 def _settle(sent: DataFrame, parts: int, spread: int) -> DataFrame:
@@ -215,11 +219,18 @@ def _settle(sent: DataFrame, parts: int, spread: int) -> DataFrame:
 
 # ---------------------------------------------------------------- texts by document part
 
-TEXTS = "part int, d binary, t binary, sizes binary, texts binary"
+TEXTS = "part int, d binary, t binary, sizes binary, texts binary, rows binary"
 
 
-def _texts(keyed: DataFrame, parts: int) -> DataFrame:
-    """Texts in compressed bundles, one or more per task and document part."""
+def _stream(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _texts(keyed: DataFrame, parts: int, carry: bool) -> DataFrame:
+    """Texts in compressed bundles, one or more per task and document part, with their other columns if asked."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
         squeeze = zstandard.ZstdCompressor(level=1)
@@ -235,14 +246,15 @@ def _texts(keyed: DataFrame, parts: int) -> DataFrame:
             part = document_part(d, t, parts)
             order = np.argsort(part, kind="stable")
             cuts = np.flatnonzero(np.diff(part[order])) + 1
+            carried = pa.Table.from_batches([h[4] for h in held]).combine_chunks() if carry else None
             rows = []
             for own in np.split(order, cuts):
                 body = b"".join(buf[at[i]:at[i + 1]].tobytes() for i in own)
                 rows.append((int(part[own[0]]), d[own].tobytes(), t[own].tobytes(), sizes[own].tobytes(),
-                             squeeze.compress(body)))
+                             squeeze.compress(body), _stream(carried.take(pa.array(own))) if carry else None))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int32() if k == 0 else pa.binary()) for k, c in enumerate(zip(*rows, strict=True))],
-                names=["part", "d", "t", "sizes", "texts"])
+                names=["part", "d", "t", "sizes", "texts", "rows"])
 
         with np.errstate(over="ignore"):
             for batch in batches:
@@ -250,7 +262,7 @@ def _texts(keyed: DataFrame, parts: int) -> DataFrame:
                     continue
                 buf, offsets = arrow_buffer(batch.column(2))
                 held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), buf,
-                             np.diff(offsets).astype(np.int64)))
+                             np.diff(offsets).astype(np.int64), batch.select(["row"])))
                 size += len(buf)
                 if size >= FLUSH_BYTES:
                     yield from flush()
@@ -421,14 +433,19 @@ def _passes(contexts: DataFrame, window: int, parts: int) -> DataFrame:
 
 # ---------------------------------------------------------------- operator
 
-RESULT = ("doc_id long, tag int, n_bytes long, n_removed long, n_spans long, "
+RESULT = ("doc_id long, n_bytes long, n_removed long, n_spans long, "
           "spans array<struct<start: long, end: long>>, kept binary")
 
 
-def _apply(texts: DataFrame, cuts: DataFrame, window: int, digest: bool) -> DataFrame:
+def _apply(texts: DataFrame, cuts: DataFrame, window: int, form: str, row: StructField | None) -> DataFrame:
+    forms = {"bytes": lambda b: b, "digest": lambda b: hashlib.sha256(b).hexdigest().encode(),
+             "text": lambda b: b.decode("utf-8", "ignore").encode()}
+    shape = forms[form]
+    schema = StructType([*StructType.fromDDL(RESULT), *([row] if row else [])])
+
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         by = _by_document(right, (CUTS,))
-        rows: list[list] = [[] for _ in range(7)]
+        rows: list[list] = [[] for _ in range(6)]
         for d, t, body in _documents_of(left):
             cut = by.get((d, t))
             spans, kept = [], body
@@ -440,44 +457,63 @@ def _apply(texts: DataFrame, cuts: DataFrame, window: int, digest: bool) -> Data
                 steps = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
                 spans = [{"start": a, "end": b} for a, b in steps.reshape(-1, 2).tolist()]
                 kept = np.frombuffer(body, np.uint8)[~gone].tobytes()
-            for column, value in zip(rows, (None if t < 0 else d, t, len(body), len(body) - len(kept), len(spans),
-                                            spans, hashlib.sha256(kept).hexdigest().encode() if digest else kept),
-                                     strict=True):
+            for column, value in zip(rows, (None if t < 0 else d, len(body), len(body) - len(kept), len(spans),
+                                            spans, shape(kept)), strict=True):
                 column.append(value)
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), span, pa.binary()]
-        return pa.table([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)],
-                        names=["doc_id", "tag", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
-    return texts.groupBy("part").cogroup(cuts.groupBy("part")).applyInArrow(run, RESULT)
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), span, pa.binary()]
+        out = pa.table([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)],
+                       names=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
+        if row is None:
+            return out
+        streams = [pa.ipc.open_stream(x).read_all() for x in left["rows"].to_pylist()]
+        if streams:
+            return out.append_column("row", pa.concat_tables(streams)["row"].combine_chunks())
+        return out.append_column(to_arrow_schema(StructType([row])).field(0), pa.nulls(0, to_arrow_schema(
+            StructType([row])).field(0).type))
+    return texts.groupBy("part").cogroup(cuts.groupBy("part")).applyInArrow(run, schema)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, spread: int = SPREAD,
-                   digest: bool = False) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): sizes, removed spans (byte offsets) and the bytes kept.
+                   form: str = "bytes", carry: list[str] | None = None) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): sizes, removed spans (byte offsets) and what is kept.
 
-    ``tag`` with ``doc_id`` names the document (see :func:`with_tag`). With ``digest``, ``kept`` is the SHA-256 of
-    the bytes kept, in hexadecimal, so that they need not leave the task.
+    ``form`` of ``kept``: "bytes"; "text", without the bytes of characters that were cut through; "digest", the
+    SHA-256 of the bytes in hexadecimal, so that they need not leave the task. The columns named by ``carry``
+    come along in the struct ``row``.
     """
-    if not gram < window <= 200 or window - gram > 255:
+    if not gram < window <= 200:
         raise ValueError("gram < window <= 200 is needed")
     spark = docs.sparkSession
     small_batches(spark)
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = _keyed(docs.select("doc_id", "text"))
+    keyed = _keyed(docs, carry or [])
     found = written(_settle(_entries(keyed, window, gram, parts), parts, spread), "suffix-entries")
-    mixed = _contexts(_texts(keyed, parts), found.where(F.col("kind").isin(MIXED, HOT)), window, parts)
+    mixed = _contexts(_texts(keyed, parts, False), found.where(F.col("kind").isin(MIXED, HOT)), window, parts)
     more = _passes(mixed, window, parts)
     cuts = found.where(F.col("kind") == CUTS).unionByName(more)
-    return _apply(_texts(keyed, parts), cuts, window, digest)
+    return _apply(_texts(keyed, parts, bool(carry)), cuts, window, form, keyed.schema["row"] if carry else None)
+
 
+def cut_repeats(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with all their columns and without repeated passages.
 
-def with_tag(docs: DataFrame) -> DataFrame:
-    """Add ``tag``, which with doc_id names a document in the result of :func:`remove_repeats`."""
-    tag = F.xxhash64(text_bytes()).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
-    return docs.withColumn("tag", F.when(F.col("doc_id").isNull(), -1 - tag).otherwise(tag))
+    ``n_chars``, if there is one, is set to the new length where something was removed. A document of which only
+    white space is left after a removal is dropped.
+    """
+    rest = [c for c in docs.columns if c != "text"]
+    found = remove_repeats(docs, form="text", carry=rest)
+    changed = F.col("n_removed") > 0
+    found = found.select("row", F.col("kept").cast("string").alias("text"), "n_removed", "n_bytes")
+    found = found.where(~(changed & ~F.col("text").rlike(WORD)))
+    new = {"text": F.col("text")}
+    if "n_chars" in rest:
+        new["n_chars"] = F.when(changed, F.length("text")).otherwise(F.col("row.n_chars")) \
+            .cast(docs.schema["n_chars"].dataType)
+    return found.select(*(new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def op10_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     """Contract query: what is removed of every document, with a digest of what is kept."""
-    return remove_repeats(documents(spark, sf_dir, "doc_id", "text"), digest=True).select(
+    return remove_repeats(documents(spark, sf_dir, "doc_id", "text"), form="digest").select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.col("kept").cast("string").alias("kept_sha256"))

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from cohortlens.llm.common import (_LOWER, arrow_buffer, chunks, documents, prefix_hash, small_batches, span_hash,
                                    text_bytes, word_spans)
@@ -196,21 +197,21 @@ class Model:
         return np.bincount(doc[use], weights=value[order][use], minlength=n) / loud
 
 
-def statistics(docs: DataFrame, model: Model, *carry: str) -> DataFrame:
-    """(carry..., statistic) of every row of ``docs`` (carry..., b)."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in carry) + ", statistic double"
+def statistics(rows: DataFrame, model: Model) -> DataFrame:
+    """(row, statistic) of every row of ``rows`` (row: struct of anything, b: bytes)."""
+    sent = rows.sparkSession.sparkContext.broadcast(model)
+    schema = StructType([rows.schema["row"], StructField("statistic", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in batches:
-                data, offsets = arrow_buffer(batch.column(batch.num_columns - 1))
+                data, offsets = arrow_buffer(batch.column(1))
                 out = [np.zeros(0)] + [sent.value.statistics(data[offsets[i]:offsets[j]],
                                                              offsets[i:j + 1] - offsets[i])
                                        for i, j in chunks(offsets)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(out), pa.float64())],
-                                                 names=[*carry, "statistic"])
-    return docs.select(*carry, "b").mapInArrow(run, schema)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(out), pa.float64())],
+                                                 names=["row", "statistic"])
+    return rows.select("row", "b").mapInArrow(run, schema)
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
@@ -246,21 +247,34 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Model, float, float]:
     table = grams.orderBy((F.col("ordinary") + F.col("toxic")).desc(), "gram").limit(MODEL_GRAMS).toPandas()
     model = Model(table["gram"].to_numpy(np.int64).view(U8), table["ordinary"].to_numpy(), table["toxic"].to_numpy())
     at = F.round(F.col("statistic") * BINS)
-    bins = statistics(own.where(fold() == 4), model, "toxic").where("statistic is not null") \
-        .groupBy(F.greatest(F.lit(-2000), F.least(F.lit(2000), at)).alias("at"), "toxic").count().toPandas()
+    bins = statistics(own.where(fold() == 4).select(F.struct("toxic").alias("row"), "b"), model) \
+        .groupBy(F.greatest(F.lit(-2000), F.least(F.lit(2000), at)).alias("at"), F.col("row.toxic").alias("toxic")) \
+        .count().toPandas()
     slope, intercept = fit_curve(bins["at"].to_numpy(float) / BINS, bins["toxic"].to_numpy(float),
                                  bins["count"].to_numpy(float))
     return model, slope, intercept
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted, statistic) for every row of ``docs`` (doc_id, text)."""
+def score_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(row, statistic, score): the rows of ``docs`` (doc_id, text, ...) as structs, with their scores."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("b"))
     model, slope, intercept = train(rows, labels)
     score = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(slope) * F.col("statistic") + F.lit(intercept))))
-    return statistics(rows, model, "doc_id").select(
-        "doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), score.alias("score"),
-        (score >= 0.5).cast("int").alias("predicted"), "statistic")
+    all_rows = docs.select(F.struct(*docs.columns).alias("row"), text_bytes().alias("b"))
+    return statistics(all_rows, model).withColumn("score", score)
+
+
+def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, held_out, score, predicted, statistic) for every row of ``docs`` (doc_id, text)."""
+    scored = score_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels)
+    return scored.select(F.col("row.doc_id").alias("doc_id"), "score", "statistic").select(
+        "doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "statistic")
+
+
+def keep_ordinary(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, with all their columns."""
+    return score_rows(docs, labels).where("score < 0.5").select("row.*")
 
 
 def op6_toxicity(spark, sf_dir: str) -> DataFrame:
