@@ -4,8 +4,9 @@ Two models, of toxic and of ordinary labelled documents, spell words byte by byt
 and up to ``ORDER - 1`` bytes before it in its word. Each class discounts its own counts of the whole
 gram and gives the freed mass to shorter grams, whose Kneser-Ney continuation counts the classes
 share, so that a rare expression leans on what both have seen. A word's evidence is the difference
-of its two log-likelihoods. A document's statistic is length-normalised: the mean evidence of the
-hundredth of its words (one at least) that speaks loudest for toxic. A logistic curve, fitted on
+of its two log-likelihoods. A document counts and speaks once for each of its words, however often it
+repeats it. Its statistic is length-normalised: the mean evidence of the fiftieth of its distinct
+words (three at least, if it has them) that speaks loudest for toxic. A logistic curve, fitted on
 labelled documents that gave no counts, turns it into the score.
 
 Counting covers every labelled training document, and what it shuffles grows with them; a map task
@@ -35,9 +36,10 @@ from cohortlens.llm.common import (_LOWER, arrow_buffer, chunks, documents, pref
                                    text_bytes, word_spans)
 from cohortlens.sources.tables import read_table
 
-ORDER = 5                  # bytes of a gram, at most 7
+ORDER = 4                  # bytes of a gram, at most 7
 DISCOUNT = 0.75
-LOUDEST = 100              # the statistic is the mean over one in so many words
+LOUDEST = 50               # the statistic is the mean over one in so many distinct words,
+LEAST = 3                  # and over so many at least
 MODEL_GRAMS = 1 << 20
 LABELS_SENT = 2_000_000
 FLUSH = 500_000            # distinct grams a map task holds before it sends them
@@ -74,13 +76,14 @@ def word_grams(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[n
 
 
 def _distinct_words(buf: np.ndarray, offsets: np.ndarray):
-    """Lower-cased bytes, spans of the distinct words, and for each word its distinct word and document."""
+    """Lower-cased bytes, spans of the distinct words, and (distinct word, document) once for each pair."""
     buf = _LOWER[buf]
     starts, ends, doc = word_spans(buf, offsets)
     if not len(starts):
         return buf, starts, ends, starts, doc
     _, at, which = np.unique(span_hash(prefix_hash(buf), starts, ends), return_index=True, return_inverse=True)
-    return buf, starts[at], ends[at], which, doc
+    pairs = np.unique(doc * len(at) + which)  # in the order of documents
+    return buf, starts[at], ends[at], pairs % len(at), pairs // len(at)
 
 
 def count_grams(labelled: DataFrame) -> DataFrame:
@@ -192,7 +195,7 @@ class Model:
         order = np.lexsort((-value, doc))
         count = np.bincount(doc, minlength=n)
         place = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
-        loud = np.maximum(1, count // LOUDEST)
+        loud = np.maximum(1, np.minimum(count, np.maximum(LEAST, count // LOUDEST)))
         use = place < loud[doc]                       # doc is in order already
         return np.bincount(doc[use], weights=value[order][use], minlength=n) / loud
 
