@@ -28,9 +28,10 @@ def required_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def dedup_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
-    """One row per key; default order = every other column ascending (deterministic survivor)."""
+    """One row per key; default order = every other column ascending, NULLs last, so that a real value survives
+    a missing one and the survivor is the same on every run."""
     if order is None:
-        order = [F.col(c).asc_nulls_first() for c in df.columns if c not in keys]
+        order = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
     return first_per_key(df, list(keys), list(order))
 
 
@@ -40,10 +41,9 @@ def distinct_on_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column
 
 
 def clean_dim(raw: DataFrame, key: str, name: str = "name") -> DataFrame:
-    """Dimension: trim/blank->NULL both columns, required key, DISTINCT, then one row per id (smallest name)."""
-    d = raw.select(blank_to_null(key).alias(key), blank_to_null(name).alias(name)) \
-           .where(F.col(key).isNotNull()).dropDuplicates()
-    return dedup_row_number(d, [key], [F.col(name).asc_nulls_last()])
+    """Dimension: both columns trimmed and required, then one row per id (smallest name)."""
+    d = required_keys(raw, [key, name]).select(F.trim(key).alias(key), F.trim(name).alias(name))
+    return d.groupBy(key).agg(F.min(name).alias(name))
 
 
 def clean_pillars(raw: DataFrame) -> DataFrame:
@@ -70,6 +70,12 @@ def clean_fact(raw: DataFrame, text_keys: Sequence[str], int_keys: Sequence[str]
     return dedup_row_number(typed.where(cond), keys)
 
 
+def clean_strengths(raw: DataFrame, on_error: str = "raise") -> DataFrame:
+    """Strengths: employee, rank and theme are all required; one row per (employee, rank), the smallest theme."""
+    return clean_fact(required_keys(raw, ["theme"]), ["employee_id"], ["rank"], [], text_values=["theme"],
+                      on_error=on_error)
+
+
 def clean_psych(raw: DataFrame, on_error: str = "raise") -> DataFrame:
     """Psychometric profile: numeric scores as decimals, gtq/tiki rounded to int, one row per employee."""
     typed = raw.select(

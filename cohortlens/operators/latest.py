@@ -40,7 +40,6 @@ def latest_per_key_code(df: DataFrame, keys: Sequence[str] = ("employee_id", "pi
 def pivot_wide(long: DataFrame, key: str, code: str, value: str, codes: Sequence[str]) -> DataFrame:
     """Long -> wide with a known value list (no extra distinct job); missing cell -> NULL.
 
-    The caller must ensure (key, code) is unique (see ``quality.check_unique``); ``first`` would
-    otherwise keep an arbitrary duplicate.
+    (key, code) should be unique (see ``quality.check_unique``); of duplicates the largest value is kept.
     """
-    return long.groupBy(key).pivot(code, list(codes)).agg(F.first(value))
+    return long.groupBy(key).pivot(code, list(codes)).agg(F.max(value))

@@ -17,14 +17,16 @@ def upsert_by_key(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -
     the same contract is ``MERGE INTO t USING s ON pk WHEN MATCHED UPDATE WHEN NOT MATCHED INSERT``.
     """
     keys = list(keys)
-    inc = dedup_row_number(incoming, keys)
-    kept = target.join(inc.select(*keys), keys, "left_anti")
-    return kept.unionByName(inc.select(*target.columns))
+    kept = target.join(incoming.select(*keys), keys, "left_anti")  # an anti join needs no distinct keys
+    return kept.unionByName(dedup_row_number(incoming, keys).select(*target.columns))
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Idempotent overwrite of a Parquet table (a full rebuild needs no DROP)."""
+    """Idempotent overwrite of a Parquet table (a full rebuild needs no DROP).
+
+    With ``partition_by``, only the partitions that ``df`` has rows of are replaced; the others stay as they are.
+    """
     w = df.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     w.parquet(path)

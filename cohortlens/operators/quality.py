@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def quality_unique_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once (and NULL key parts): keys..., n."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    """Keys that occur more than once, and keys with a NULL part however often they occur: keys..., n."""
+    null_part = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | null_part)
 
 
 def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
@@ -27,7 +29,7 @@ def quality_orphans(fact: DataFrame, dim: DataFrame, fk: str, dim_key: str | Non
     The dimension is not hinted: AQE broadcasts it only when its measured size is under the threshold.
     """
     dim_key = dim_key or fk
-    keys = dim.select(F.col(dim_key).alias("_dk")).distinct()
+    keys = dim.select(F.col(dim_key).alias("_dk"))  # an anti join needs no distinct
     return fact.where(F.col(fk).isNotNull()).join(keys, F.col(fk) == F.col("_dk"), "left_anti")
 
 
@@ -41,11 +43,58 @@ def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, row_count) for every table, one small aggregate each, unioned."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
              for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts).orderBy("table_name")
 
 
-def value_counts(df: DataFrame, col: str, top: int | None = 50) -> DataFrame:
-    """Frequency of each value including NULL, most frequent first; ``top`` is the report size."""
+def quality_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column_name, n): rows that break NOT NULL, for every column of ``cols`` (0 when it holds)."""
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n"))
+                                             for c in cols])).alias("x")).select("x.column_name", "x.n")
+
+
+def quality_unique_value(df: DataFrame, col: str) -> DataFrame:
+    """Values of a UNIQUE column that occur more than once: value, n (NULLs are never equal, as in SQL)."""
+    return df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
+def quality_length(df: DataFrame, col: str, most: int) -> DataFrame:
+    """Values longer than a VARCHAR(``most``) column takes: value, n."""
+    return df.where(F.length(col) > most).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+
+
+def rejected_rows(raw: DataFrame, required: Sequence[str]) -> DataFrame:
+    """(reason, n): rows a cleaner rejects, by the first required column that is blank, and the rows it accepts."""
+    reason = F.coalesce(*[F.when(F.trim(c).isNull() | (F.trim(c) == ""), F.lit(f"blank {c}")) for c in required],
+                        F.lit("accepted"))
+    return raw.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def second_values(raw: DataFrame, key: str, col: str) -> DataFrame:
+    """Keys that come with more than one value of ``col``: key, kept (the smallest, which survives), n_values."""
+    k, v = F.trim(key), F.trim(col)
+    return raw.where((k != "") & (v != "")).groupBy(k.alias(key)).agg(
+        F.min(v).alias("kept"), F.countDistinct(v).alias("n_values")).where(F.col("n_values") > 1)
+
+
+def table_list(spark: SparkSession, folder: str, names: Sequence[str]) -> DataFrame:
+    """(table_name, present, row_count) of Parquet tables under ``folder``, by name; an absent one has no count."""
+    parts = []
+    for name in sorted(names):
+        try:
+            n = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet").agg(F.count(F.lit(1)).alias("n"))
+            parts.append(n.select(F.lit(name).alias("table_name"), F.lit(True).alias("present"),
+                                  F.col("n").alias("row_count")))
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+            parts.append(spark.range(1).select(F.lit(name).alias("table_name"), F.lit(False).alias("present"),
+                                               F.lit(None).cast("long").alias("row_count")))
+    return reduce(DataFrame.unionByName, parts).orderBy("table_name")
+
+
+def value_counts(df: DataFrame, col: str, top: int | None = None) -> DataFrame:
+    """Frequency of each value including NULL; with ``top``, the report of the most frequent ones."""
     out = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     if top is not None:
         out = out.orderBy(F.col("n").desc(), F.col(col).asc_nulls_first()).limit(top)

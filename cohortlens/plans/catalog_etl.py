@@ -11,6 +11,7 @@ from cohortlens.operators.latest import pivot_wide
 from cohortlens.plans.inputs import Bundle
 from cohortlens.plans.registry import query
 from cohortlens.sources import fixtures as fx
+from cohortlens.sources.projections import employees_org_min
 from cohortlens.sources.readers import read_or_empty, scan_project, sql_read
 from cohortlens.sources.schemas import CORE, conform_to_schema, ensure_columns
 from cohortlens.sources.tables import TABLES, read_table
@@ -33,10 +34,10 @@ def q_scan_project(spark, sf_dir):
     return scan_project(c, ["c_custkey", "c_name", "c_mktsegment", "c_phone"], keep_if_present=True)
 
 
-@query("sql_read", "c_custkey:l, c_acctbal:d", "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 0")
+@query("sql_read", "c_custkey:l, c_acctbal:d", "SELECT c_custkey, c_acctbal FROM customer")
 def q_sql_read(spark, sf_dir):
     read_table(spark, sf_dir, "customer").createOrReplaceTempView("cohortlens_customer")
-    return sql_read(spark, "SELECT c_custkey, c_acctbal FROM cohortlens_customer WHERE c_acctbal > 0")
+    return sql_read(spark, "SELECT c_custkey, c_acctbal FROM cohortlens_customer")
 
 
 @query("read_or_empty", "employee_id:s, pauli:d", "SELECT employee_id, pauli FROM fx_psych")
@@ -106,23 +107,48 @@ def q_ensure_columns(spark, sf_dir):
     return ensure_columns(p, {"iq": (0.0, "double"), "extra_score": (0.0, "double"), "note": (None, "string")})
 
 
-DIM_RAW = """SELECT concat(' ', CAST(c_custkey AS VARCHAR), ' ') AS raw_id, concat(c_name, '  ') AS raw_name FROM customer
-UNION ALL SELECT CASE WHEN c_custkey % 5 = 0 THEN '  ' ELSE CAST(c_custkey AS VARCHAR) END, c_mktsegment FROM customer"""
+DIM_RAW = """SELECT concat(' ', CAST(c_custkey AS VARCHAR), ' ') AS raw_id,
+  CASE WHEN c_custkey % 4 = 0 THEN '  ' ELSE concat(c_name, '  ') END AS raw_name FROM customer
+UNION ALL SELECT CASE WHEN c_custkey % 5 = 0 THEN '  ' ELSE CAST(c_custkey AS VARCHAR) END, CASE WHEN c_custkey % 6 <> 0 THEN c_mktsegment END FROM customer"""
 
 
 @query("clean_dim", "customer_id:s, name:s",
        f"""SELECT customer_id, name FROM (
-  SELECT customer_id, name, row_number() OVER (PARTITION BY customer_id ORDER BY name ASC NULLS LAST) AS rn
+  SELECT customer_id, name, row_number() OVER (PARTITION BY customer_id ORDER BY name) AS rn
   FROM (SELECT DISTINCT {b2n('raw_id')} AS customer_id, {b2n('raw_name')} AS name FROM ({DIM_RAW}) r) d
-  WHERE customer_id IS NOT NULL) x WHERE rn = 1""")
+  WHERE customer_id IS NOT NULL AND name IS NOT NULL) x WHERE rn = 1""")
 def q_clean_dim(spark, sf_dir):
+    return clean.clean_dim(_dim_raw(spark, sf_dir), "customer_id")
+
+
+def _dim_raw(spark, sf_dir):
     c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment"])
     k = F.col("c_custkey")
     a = c.select(F.concat(F.lit(" "), k.cast("string"), F.lit(" ")).alias("customer_id"),
-                 F.concat(F.col("c_name"), F.lit("  ")).alias("name"))
+                 F.when(k % 4 == 0, F.lit("  ")).otherwise(F.concat(F.col("c_name"), F.lit("  "))).alias("name"))
     b = c.select(F.when(k % 5 == 0, F.lit("  ")).otherwise(k.cast("string")).alias("customer_id"),
-                 F.col("c_mktsegment").alias("name"))
-    return clean.clean_dim(a.unionByName(b), "customer_id")
+                 F.when(k % 6 != 0, F.col("c_mktsegment")).alias("name"))
+    return a.unionByName(b)
+
+
+STRENGTHS_RAW = """SELECT concat(employee_id, ' ') AS employee_id, concat(CAST(rank AS VARCHAR), '.0') AS rank, theme FROM fx_strengths
+UNION ALL SELECT employee_id, CAST(rank AS VARCHAR), CASE WHEN rank % 2 = 0 THEN '  ' END FROM fx_strengths
+UNION ALL SELECT CASE WHEN rank = 3 THEN ' ' ELSE employee_id END, CAST(rank AS VARCHAR), concat(' ', theme, 'Z ') FROM fx_strengths"""
+
+
+@query("clean_strengths", "employee_id:s, rank:i, theme:s",
+       f"""SELECT employee_id, rank, theme FROM (
+  SELECT *, row_number() OVER (PARTITION BY employee_id, rank ORDER BY theme) AS rn FROM (
+    SELECT {b2n('employee_id')} AS employee_id, {round_int('rank')} AS rank, {b2n('theme')} AS theme FROM ({STRENGTHS_RAW}) r) t
+  WHERE employee_id IS NOT NULL AND rank IS NOT NULL AND theme IS NOT NULL) x WHERE rn = 1""")
+def q_clean_strengths(spark, sf_dir):
+    s = fx.fx_strengths(spark, sf_dir)
+    rank = F.col("rank").cast("string")
+    a = s.select(F.concat("employee_id", F.lit(" ")).alias("employee_id"), F.concat(rank, F.lit(".0")).alias("rank"), "theme")
+    b = s.select("employee_id", rank.alias("rank"), F.when(F.col("rank") % 2 == 0, F.lit("  ")).alias("theme"))
+    c = s.select(F.when(F.col("rank") == 3, F.lit(" ")).otherwise(F.col("employee_id")).alias("employee_id"),
+                 rank.alias("rank"), F.concat(F.lit(" "), F.col("theme"), F.lit("Z ")).alias("theme"))
+    return clean.clean_strengths(a.unionByName(b).unionByName(c))
 
 
 @query("clean_pillars", "pillar_code:s, pillar_label:s",
@@ -145,7 +171,7 @@ UNION ALL SELECT employee_id, scale_code, ' 9 ' FROM fx_papi WHERE score % 3 = 0
 
 @query("clean_fact", "employee_id:s, scale_code:s, score:i",
        f"""SELECT employee_id, scale_code, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY employee_id, scale_code ORDER BY score ASC NULLS FIRST) AS rn FROM (
+  SELECT *, row_number() OVER (PARTITION BY employee_id, scale_code ORDER BY score ASC NULLS LAST) AS rn FROM (
     SELECT {b2n('employee_id')} AS employee_id, {b2n('scale_code')} AS scale_code, {round_int('score')} AS score
     FROM ({PAPI_RAW}) r) t WHERE employee_id IS NOT NULL AND scale_code IS NOT NULL) x WHERE rn = 1""")
 def q_clean_fact(spark, sf_dir):
@@ -162,8 +188,8 @@ PSYCH_TEXT_COLS = ("pauli", "faxtor", "disc", "disc_word", "mbti", "iq", "gtq",
 
 @query("clean_psych", "employee_id:s, pauli:d, faxtor:d, disc:s, disc_word:s, mbti:s, iq:d, gtq:i, tiki:i",
        f"""SELECT employee_id, pauli, faxtor, disc, disc_word, mbti, iq, gtq, tiki FROM (
-  SELECT *, row_number() OVER (PARTITION BY employee_id ORDER BY pauli NULLS FIRST, faxtor NULLS FIRST,
-     disc NULLS FIRST, disc_word NULLS FIRST, mbti NULLS FIRST, iq NULLS FIRST, gtq NULLS FIRST, tiki NULLS FIRST) rn
+  SELECT *, row_number() OVER (PARTITION BY employee_id ORDER BY pauli NULLS LAST, faxtor NULLS LAST,
+     disc NULLS LAST, disc_word NULLS LAST, mbti NULLS LAST, iq NULLS LAST, gtq NULLS LAST, tiki NULLS LAST) rn
   FROM (SELECT {b2n('employee_id')} AS employee_id, CAST({b2n('pauli')} AS DECIMAL(38,10)) AS pauli,
           CAST({b2n('faxtor')} AS DECIMAL(38,10)) AS faxtor, {b2n('disc')} AS disc, {b2n('disc_word')} AS disc_word,
           {b2n('mbti')} AS mbti, CAST({b2n('iq')} AS DECIMAL(38,10)) AS iq, {round_int('gtq')} AS gtq,
@@ -188,7 +214,7 @@ LI_OUT = "l_orderkey:l, l_linenumber:i, l_partkey:l, l_suppkey:l, l_quantity:d,
 
 @query("dedup_row_number", LI_OUT,
        f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-  ORDER BY {', '.join(c + ' ASC NULLS FIRST' for c in LI_COLS)}) AS rn FROM lineitem) x WHERE rn = 1""")
+  ORDER BY {', '.join(c + ' ASC NULLS LAST' for c in LI_COLS)}) AS rn FROM lineitem) x WHERE rn = 1""")
 def q_dedup(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", *LI_COLS])
     return clean.dedup_row_number(li, ["l_orderkey", "l_linenumber"])
@@ -241,18 +267,70 @@ def q_unique(spark, sf_dir):
                                       ["l_orderkey", "l_linenumber"])
 
 
-# Late-arriving dimension: the order dimension as loaded (orders placed before DIM_CUT) against every
-# line item; lines of later orders are the orphans.
-DIM_CUT = "2000-01-01"
+@query("quality_orphans", "l_orderkey:l, l_linenumber:i, l_partkey:l",
+       "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem l WHERE l_partkey IS NOT NULL AND NOT EXISTS ("
+       "SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey)")
+def q_orphans(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey"])
+    return quality.quality_orphans(li, read_table(spark, sf_dir, "part", ["p_partkey"]), "l_partkey", "p_partkey")
+
+
+@query("quality_pillar_key", "pillar_code:s, n:l",
+       "SELECT pillar_code, count(*) AS n FROM fx_competencies c WHERE pillar_code IS NOT NULL AND NOT EXISTS ("
+       "SELECT 1 FROM pillar_dim d WHERE d.pillar_code = c.pillar_code) GROUP BY pillar_code")
+def q_pillar_key(spark, sf_dir):
+    b = Bundle(spark, sf_dir)
+    return quality.quality_orphans(b.competencies, b.pillar_labels, "pillar_code") \
+        .groupBy("pillar_code").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("quality_orphans", "l_orderkey:l, l_linenumber:i",
-       "SELECT l_orderkey, l_linenumber FROM lineitem l WHERE l_orderkey IS NOT NULL AND NOT EXISTS ("
-       f"SELECT 1 FROM orders o WHERE o.o_orderdate < TIMESTAMP '{DIM_CUT}' AND o.o_orderkey = l.l_orderkey)")
-def q_orphans(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"])
-    dim = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"]).where(F.col("o_orderdate") < DIM_CUT)
-    return quality.quality_orphans(li, dim, "l_orderkey", "o_orderkey")
+NOT_NULL = ("employee_id", "grade_id", "education_id", "fullname")
+
+
+@query("quality_not_null", "column_name:s, n:l",
+       " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) AS n FROM fx_employees WHERE {c} IS NULL"
+                          for c in NOT_NULL))
+def q_not_null(spark, sf_dir):
+    return quality.quality_not_null(fx.fx_employees(spark, sf_dir), NOT_NULL)
+
+
+@query("quality_unique_name", "name:s, n:l",
+       f"SELECT name, count(*) AS n FROM (SELECT {b2n('raw_name')} AS name FROM ({DIM_RAW}) r) d "
+       "WHERE name IS NOT NULL GROUP BY name HAVING count(*) > 1")
+def q_unique_name(spark, sf_dir):
+    raw = _dim_raw(spark, sf_dir)
+    return quality.quality_unique_value(raw.select(blank_to_null("name").alias("name")), "name")
+
+
+@query("quality_code_length", "mbti:s, n:l",
+       "SELECT mbti, count(*) AS n FROM fx_psych WHERE length(mbti) > 4 GROUP BY mbti")
+def q_code_length(spark, sf_dir):
+    return quality.quality_length(fx.fx_psych(spark, sf_dir), "mbti", 4)
+
+
+@query("quality_rejected_rows", "reason:s, n:l",
+       f"""SELECT CASE WHEN {b2n('raw_id')} IS NULL THEN 'blank customer_id' WHEN {b2n('raw_name')} IS NULL THEN 'blank name'
+  ELSE 'accepted' END AS reason, count(*) AS n FROM ({DIM_RAW}) r GROUP BY 1""")
+def q_rejected(spark, sf_dir):
+    return quality.rejected_rows(_dim_raw(spark, sf_dir), ["customer_id", "name"])
+
+
+@query("quality_second_names", "customer_id:s, kept:s, n_values:l",
+       f"""SELECT customer_id, min(name) AS kept, count(DISTINCT name) AS n_values FROM (
+  SELECT {b2n('raw_id')} AS customer_id, {b2n('raw_name')} AS name FROM ({DIM_RAW}) r) d
+  WHERE customer_id IS NOT NULL AND name IS NOT NULL GROUP BY customer_id HAVING count(DISTINCT name) > 1""")
+def q_second_names(spark, sf_dir):
+    return quality.second_values(_dim_raw(spark, sf_dir), "customer_id", "name")
+
+
+ABSENT = "staging_talent"
+
+
+@query("quality_table_list", "table_name:s, present:s, row_count:l",
+       " UNION ALL ".join([f"SELECT '{t}' AS table_name, 'true' AS present, count(*) AS row_count FROM {t}" for t in TABLES]
+                          + [f"SELECT '{ABSENT}', 'false', NULL"]) + " ORDER BY table_name")
+def q_table_list(spark, sf_dir):
+    return quality.table_list(spark, sf_dir, [*TABLES, ABSENT])
 
 
 NULL_COLS = ("grade_id", "area_id", "education_id", "major", "years_of_service_months")
@@ -324,10 +402,25 @@ def q_label_cohort(spark, sf_dir):
     return fx.fx_performance(spark, sf_dir).withColumn("is_high", label_cohort("rating"))
 
 
-@query("star_join_org", "employee_id:s, education:s, grade:s, major:s, years_of_service_months:i",
-       "SELECT employee_id, education, grade, major, years_of_service_months FROM emp_org")
+@query("star_join_org", "employee_id:s, fullname:s, company:s, area:s, position:s, department:s, division:s, "
+       "directorate:s, grade:s, education:s, major:s, years_of_service_months:i",
+       """SELECT e.employee_id, e.fullname, c.r_name AS company, a.r_name AS area, p.n_name AS position,
+  s.s_name AS department, v.p_name AS division, r.r_name AS directorate, e.grade, e.education, e.major,
+  e.years_of_service_months
+FROM emp_org e LEFT JOIN region c ON CAST(c.r_regionkey AS VARCHAR) = e.company_id
+LEFT JOIN region a ON CAST(a.r_regionkey AS VARCHAR) = e.area_id
+LEFT JOIN nation p ON CAST(p.n_nationkey AS VARCHAR) = e.position_id
+LEFT JOIN supplier s ON CAST(s.s_suppkey AS VARCHAR) = e.department_id
+LEFT JOIN part v ON CAST(v.p_partkey AS VARCHAR) = e.division_id
+LEFT JOIN region r ON CAST(r.r_regionkey AS VARCHAR) = e.directorate_id""")
 def q_star(spark, sf_dir):
-    return Bundle(spark, sf_dir).employees_org
+    return Bundle(spark, sf_dir).employees_org_all
+
+
+@query("employees_org_min", "employee_id:s, fullname:s, years_of_service_months:i, grade_id:s, education_id:s",
+       "SELECT employee_id, fullname, years_of_service_months, grade_id, education_id FROM fx_employees")
+def q_employees_org_min(spark, sf_dir):
+    return employees_org_min(fx.fx_employees(spark, sf_dir))
 
 
 @query("disc_normalise", "employee_id:s, disc:s, disc_word:s", "SELECT employee_id, disc, disc_word FROM psych_fixed")

@@ -2,16 +2,17 @@
 merged into what is already there (upsert by primary key), plus a quality report.
 
 Each table is one lazy plan: CSV scan -> clean -> one row per key -> anti-join merge -> write. The merged
-result is checkpointed in ``spark.checkpoint.dir`` before it overwrites its own target folder, so the
-write never reads the files it replaces.
+result is checkpointed in ``spark.checkpoint.dir`` before it overwrites its own target, so the write
+never reads the files it replaces. Of a partitioned table only the partitions in the batch are read,
+merged and replaced.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,7 +59,7 @@ def clean_table(name: str, raw: DataFrame, on_error: str = "raise") -> DataFrame
     elif name == "papi_scores":
         out = clean.clean_fact(raw, ["employee_id", "scale_code"], [], ["score"], on_error=on_error)
     elif name == "strengths":
-        out = clean.clean_fact(raw, ["employee_id"], ["rank"], [], text_values=["theme"], on_error=on_error)
+        out = clean.clean_strengths(raw, on_error)
     elif name == "performance_yearly":
         out = clean.clean_fact(raw, ["employee_id"], ["year"], ["rating"], on_error=on_error)
     elif name == "competencies_yearly":
@@ -69,26 +70,40 @@ def clean_table(name: str, raw: DataFrame, on_error: str = "raise") -> DataFrame
     return out.select(*[F.col(f.name).cast(f.dataType) for f in CORE[name].fields])
 
 
-def load_staging(spark: SparkSession, staging_dir: str, tables: Iterable[str] = LOAD_ORDER) -> dict[str, DataFrame]:
-    """``<staging_dir>/<table>.csv`` for every table; a missing file gives an empty staging frame."""
-    out = {}
+def load_staging(spark: SparkSession, staging_dir: str, tables: Iterable[str] = LOAD_ORDER,
+                 may_be_missing: Iterable[str] = ()) -> dict[str, DataFrame]:
+    """``<staging_dir>/<table>.csv`` for every table, found and read by Spark (any path Spark can open).
+
+    A missing file is an error, unless the table is named in ``may_be_missing``: then its frame is empty.
+    """
+    out, missing = {}, set(may_be_missing)
     for t in tables:
-        path = os.path.join(staging_dir, f"{t}.csv")
-        out[t] = scan_csv_text(spark, path, STAGING[t]) if os.path.exists(path) else \
-            spark.createDataFrame([], STAGING[t])
+        try:
+            out[t] = scan_csv_text(spark, _join(staging_dir, f"{t}.csv"), STAGING[t])
+        except AnalysisException as exc:
+            if t not in missing or exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+            out[t] = spark.createDataFrame([], STAGING[t])
     return out
 
 
+def _join(folder: str, name: str) -> str:
+    return f"{folder.rstrip('/')}/{name}"
+
+
 def build_core(spark: SparkSession, staging_dir: str, core_dir: str, tables: Iterable[str] = LOAD_ORDER,
-               on_error: str = "raise") -> dict[str, DataFrame]:
+               on_error: str = "raise", may_be_missing: Iterable[str] = ()) -> dict[str, DataFrame]:
     """Clean every staging table and upsert it into ``<core_dir>/<table>`` (Parquet). Re-running with
     the same input leaves the tables unchanged. Returns the core tables as lazy frames."""
-    staged = load_staging(spark, staging_dir, tables)
+    staged = load_staging(spark, staging_dir, tables, may_be_missing)
     result = {}
     for t in tables:
         cleaned = clean_table(t, staged[t], on_error)
-        target_path = os.path.join(core_dir, t)
+        target_path = _join(core_dir, t)
         existing = read_or_empty(spark, target_path, CORE[t])
+        by = list(PARTITION_BY.get(t, ()))
+        if by:  # the partition columns are part of the key: only partitions that the batch touches are rewritten
+            existing = existing.join(cleaned.select(*by).distinct(), by, "left_semi")
         merged = cut_lineage(merge.upsert_by_key(existing, cleaned, PRIMARY_KEYS[t]))
         merge.write_table(merged, target_path, PARTITION_BY.get(t, ()))
         result[t] = spark.read.parquet(target_path).select(*[f.name for f in CORE[t].fields])

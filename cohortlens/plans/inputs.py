@@ -14,6 +14,11 @@ from cohortlens.functions.columns import label_cohort
 from cohortlens.operators.clean import fix_disc
 from cohortlens.operators.latest import latest_per_key, latest_per_key_code, pivot_wide
 from cohortlens.sources import fixtures as fx
+from cohortlens.sources import projections as pj
+from cohortlens.sources.tables import read_table
+
+
+ORG_NAMES = ("company", "area", "position", "department", "division", "directorate", "grade", "education", "major")
 
 
 @dataclass
@@ -84,11 +89,31 @@ class Bundle:
                  .select("employee_id", "fullname", "education", "grade", "major", "years_of_service_months",
                          "grade_id", "education_id", "area_id"))
 
+    @cached_property
+    def employees_org_all(self) -> DataFrame:
+        """Star join of all nine dimensions; the larger names come from driver tables, joined without a hint."""
+        e = self.employees.withColumnRenamed("major", "major_name").withColumn("major", F.col("major_name"))
+        grades = fx.dim_frame(self.spark, fx.GRADES, "grade_id", "grade")
+        edu = fx.dim_frame(self.spark, fx.EDUCATION, "education_id", "education")
+        e = e.join(F.broadcast(grades), "grade_id", "left").join(F.broadcast(edu), "education_id", "left")
+        for name, (table, key, value) in fx.DIMENSION_TABLES.items():
+            d = read_table(self.spark, self.sf_dir, table, [key, value]) \
+                .select(F.col(key).cast("string").alias(f"{name}_id"), F.col(value).alias(name))
+            e = e.join(d, f"{name}_id", "left")
+        return e.select("employee_id", "fullname", *ORG_NAMES, "years_of_service_months")
+
     @cached_property
     def pillar_labels(self) -> DataFrame:
         return fx.dim_frame(self.spark, fx.PILLAR_LABELS, "pillar_code", "pillar_label")
 
 
+DIM_OF = {"company": ("dim_companies", "company_id"), "area": ("dim_areas", "area_id"),
+          "position": ("dim_positions", "position_id"), "department": ("dim_departments", "department_id"),
+          "division": ("dim_divisions", "division_id"), "directorate": ("dim_directorates", "directorate_id"),
+          "grade": ("dim_grades", "grade_id"), "education": ("dim_education", "education_id"),
+          "major": ("dim_majors", "major_id")}
+
+
 class CoreBundle(Bundle):
     """The same analyses over real core tables (e.g. the output of ``plans.etl.build_core``) instead of
     the fixture model: ``tables`` maps core table names to DataFrames."""
@@ -106,16 +131,15 @@ class CoreBundle(Bundle):
 
     @cached_property
     def performance(self) -> DataFrame:
-        p = self._t("performance_yearly").select("employee_id", "year", "rating")
-        return p if "src_id" in p.columns else p.withColumn("src_id", F.lit(0).cast("long"))
+        return pj.perf_all(self._t("performance_yearly")).withColumn("src_id", F.lit(0).cast("long"))
 
     @cached_property
     def competencies(self) -> DataFrame:
-        return self._t("competencies_yearly").select("employee_id", "pillar_code", "year", "score")
+        return pj.comp_all(self._t("competencies_yearly"))
 
     @cached_property
     def papi(self) -> DataFrame:
-        return self._t("papi_scores").select("employee_id", "scale_code", "score")
+        return pj.papi_scores(self._t("papi_scores"))
 
     @cached_property
     def strengths(self) -> DataFrame:
@@ -123,7 +147,7 @@ class CoreBundle(Bundle):
 
     @cached_property
     def psych(self) -> DataFrame:
-        p = self._t("profiles_psych")
+        p = pj.psych(self._t("profiles_psych"), with_word=True)
         num = ("pauli", "faxtor", "iq", "gtq", "tiki")
         return p.select("employee_id", *[F.col(c).cast("double").alias(c) if c in num else F.col(c)
                                          for c in p.columns if c != "employee_id"])
@@ -131,20 +155,28 @@ class CoreBundle(Bundle):
     @cached_property
     def employees_org(self) -> DataFrame:
         """Star join: employee ids -> grade, education and major names from the core dimensions."""
-        e = self.employees
-        for dim, key, name in (("dim_grades", "grade_id", "grade"), ("dim_education", "education_id", "education"),
-                               ("dim_majors", "major_id", "major")):
+        return self._star(pj.employees_org_min(self.employees), ("grade", "education", "major")) \
+            .withColumn("area_id", F.lit(None).cast("string"))
+
+    @cached_property
+    def employees_org_all(self) -> DataFrame:
+        """Star join: the names of all nine dimensions."""
+        return self._star(self.employees, ORG_NAMES).select("employee_id", "fullname", *ORG_NAMES,
+                                                            "years_of_service_months")
+
+    def _star(self, e: DataFrame, names) -> DataFrame:
+        for name in names:
+            dim, key = DIM_OF[name]
             if dim in self.tables:
-                # dimensions are small reference tables; AQE broadcasts them after measuring
+                # no hint: the planner broadcasts a dimension whose measured size is small
                 d = self._t(dim).select(F.col(key), F.col("name").alias(name))
                 e = e.join(d, key, "left")
             else:
                 e = e.withColumn(name, F.lit(None).cast("string"))
-        return e.select("employee_id", "fullname", "education", "grade", "major", "years_of_service_months",
-                        "grade_id", "education_id", "area_id")
+        return e
 
     @cached_property
     def pillar_labels(self) -> DataFrame:
         if "dim_competency_pillars" in self.tables:
-            return self._t("dim_competency_pillars").select("pillar_code", "pillar_label")
+            return pj.pillar_labels(self._t("dim_competency_pillars"))
         return super().pillar_labels

@@ -37,7 +37,9 @@ _disc_clean = f"{_strip(f'upper({_disc_filled})')}"
 CTES: dict[str, str] = {
     "fx_employees": """
 SELECT CAST(c_custkey AS VARCHAR) AS employee_id, c_name AS fullname,
-       CAST(c_nationkey % 4 + 1 AS VARCHAR) AS area_id,
+       CAST(c_nationkey % 4 + 1 AS VARCHAR) AS area_id, CAST(c_nationkey % 5 AS VARCHAR) AS company_id,
+       CAST(c_nationkey AS VARCHAR) AS position_id, CAST(c_custkey % 11 AS VARCHAR) AS department_id,
+       CAST(c_custkey % 50 AS VARCHAR) AS division_id, CAST(c_custkey % 6 AS VARCHAR) AS directorate_id,
        CASE WHEN c_custkey % 23 = 0 THEN NULL ELSE CAST(c_custkey % 3 + 1 AS VARCHAR) END AS grade_id,
        CAST(c_custkey % 4 + 1 AS VARCHAR) AS education_id,
        c_mktsegment AS major, CAST((c_custkey * 37) % 500 AS INT) AS years_of_service_months
@@ -49,14 +51,14 @@ SELECT CAST(o_custkey AS VARCHAR) AS employee_id, CAST(year(o_orderdate) AS INT)
 FROM orders""",
     "fx_competencies": """
 SELECT CAST(o_custkey AS VARCHAR) AS employee_id,
-       substr('SEACEXVCUSTOCSIQDDGDRLIEIDSFTC', CAST(3*(l_partkey % 10)+1 AS INT), 3) AS pillar_code,
+       (['SEA', 'CEX', 'VCU', 'STO', 'CSI', 'QDD', 'GDR', 'LIE', 'IDS', 'FTC'])[l_partkey % 10 + 1] AS pillar_code,
        CAST(year(l_shipdate) AS INT) AS year, 1 + CAST(l_quantity AS INT) % 5 AS score
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "fx_papi": """
 SELECT CAST(c_custkey AS VARCHAR) AS employee_id,
-       concat('Papi_', substr('NGALPITVOBSXCDRZEKFW', CAST(i AS INT) + 1, 1)) AS scale_code,
+       concat('Papi_', (['N', 'G', 'A', 'L', 'P', 'I', 'T', 'V', 'O', 'B', 'S', 'X', 'C', 'D', 'R', 'Z', 'E', 'K', 'F', 'W'])[i + 1]) AS scale_code,
        CAST(1 + (c_custkey * 7 + i * i * 13 + c_custkey * i) % 9 AS INT) AS score
-FROM customer CROSS JOIN (SELECT DISTINCT n_nationkey AS i FROM nation WHERE n_nationkey < 20) s
+FROM customer CROSS JOIN range(0, 20) s(i)
 WHERE (c_custkey + i) % 11 <> 0""",
     "fx_strengths": """
 SELECT employee_id, theme, CAST(rn AS INT) AS rank FROM (
@@ -77,7 +79,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS employee_id,
        CASE WHEN c_custkey % 13 = 0 THEN word ELSE NULL END AS disc_word,
        CASE WHEN c_custkey % 19 = 0 THEN 'INFTJ' WHEN c_custkey % 20 = 0 THEN ' entp ' ELSE mb END AS mbti
 FROM (SELECT c_custkey, c_acctbal,
-        substr('DCDSDISDSISCISIDICCDCSCI', CAST(2*(c_custkey % 12)+1 AS INT), 2) AS code,
+        (['DC', 'DS', 'DI', 'SD', 'SI', 'SC', 'IS', 'ID', 'IC', 'CD', 'CS', 'CI'])[c_custkey % 12 + 1] AS code,
         CASE c_custkey % 4 WHEN 0 THEN 'Steadiness – Influencer' WHEN 1 THEN 'dominantinfluencer' WHEN 2 THEN ' Conscientious—Dominant' ELSE 'unknown' END AS word,
         concat(substr('EI', CAST(c_custkey % 2 + 1 AS INT), 1), substr('SN', CAST(c_custkey % 7 % 2 + 1 AS INT), 1),
                substr('TF', CAST(c_custkey % 3 % 2 + 1 AS INT), 1), substr('JP', CAST(c_custkey % 5 % 2 + 1 AS INT), 1)) AS mb
@@ -102,7 +104,7 @@ FROM (SELECT employee_id, pauli, faxtor, iq, gtq, tiki, mbti, disc_word AS disc_
              CASE WHEN {_disc_clean} IN ('', 'NAN', 'NONE') THEN NULL ELSE {_disc_clean} END AS disc
       FROM fx_psych) p""",
     "emp_org": f"""
-SELECT e.employee_id, e.fullname, d.education, g.grade, e.major, e.years_of_service_months
+SELECT e.*, d.education, g.grade
 FROM fx_employees e
 LEFT JOIN {_values(GRADES, ['grade_id', 'grade'])} ON e.grade_id = t.grade_id
 LEFT JOIN (SELECT * FROM {_values(EDUCATION, ['education_id', 'education'])}) d ON e.education_id = d.education_id""",

@@ -13,7 +13,8 @@ from cohortlens.sources.tables import read_table
 
 # --- fixed values used to derive the fixture views ---------------------------------------------
 PILLAR_CODES = ("SEA", "CEX", "VCU", "STO", "CSI", "QDD", "GDR", "LIE", "IDS", "FTC")
-PAPI_LETTERS = "NGALPITVOBSXCDRZEKFW"
+PAPI_SCALES = ("N", "G", "A", "L", "P", "I", "T", "V", "O", "B", "S", "X", "C", "D", "R", "Z", "E", "K", "F", "W")
+STRENGTHS_HELD = 5  # the modelled source lists an employee's five leading themes only
 FIXTURE_THEMES = ("Futuristic", "Intellection", "Context", "Developer", "Harmony", "Analytical",
                   "Learner", "Ideation", "Consistency", "Empathy", "Command", "Significance")
 DISC_FIXTURE_CODES = ("DC", "DS", "DI", "SD", "SI", "SC", "IS", "ID", "IC", "CD", "CS", "CI")
@@ -32,6 +33,11 @@ def fx_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.cast("string").alias("employee_id"),
         F.col("c_name").alias("fullname"),
         (F.col("c_nationkey") % 4 + 1).cast("string").alias("area_id"),
+        (F.col("c_nationkey") % 5).cast("string").alias("company_id"),
+        F.col("c_nationkey").cast("string").alias("position_id"),
+        (k % 11).cast("string").alias("department_id"),
+        (k % 50).cast("string").alias("division_id"),
+        (k % 6).cast("string").alias("directorate_id"),
         F.when(k % 23 == 0, F.lit(None).cast("string")).otherwise((k % 3 + 1).cast("string")).alias("grade_id"),
         (k % 4 + 1).cast("string").alias("education_id"),
         F.col("c_mktsegment").alias("major"),
@@ -67,19 +73,14 @@ def fx_competencies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_papi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer x scale index i (nation keys below 20), minus the (c + i) % 11 == 0 holes.
-
-    Written as explode + semi join on the nation keys (equi join), not as a cross product.
-    """
+    """Customer x scale index i (the 20 scales), minus the (c + i) % 11 == 0 holes."""
     c = read_table(spark, sf_dir, "customer", ["c_custkey"])
-    keys = read_table(spark, sf_dir, "nation", ["n_nationkey"]).where(F.col("n_nationkey") < 20) \
-        .select(F.col("n_nationkey").cast("bigint").alias("i"))
     k, i = F.col("c_custkey"), F.col("i")
-    x = c.select("c_custkey", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(19).cast("bigint"))).alias("i"))
-    x = x.join(F.broadcast(keys.distinct()), "i", "left_semi")  # at most 20 rows by the filter
+    x = c.select("c_custkey", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(len(PAPI_SCALES) - 1).cast("bigint")))
+                 .alias("i"))
     return x.where((k + i) % 11 != 0).select(
         k.cast("string").alias("employee_id"),
-        F.concat(F.lit("Papi_"), F.substring(F.lit(PAPI_LETTERS), (i + 1).cast("int"), 1)).alias("scale_code"),
+        F.concat(F.lit("Papi_"), F.element_at(_arr(PAPI_SCALES), (i + 1).cast("int"))).alias("scale_code"),
         (F.lit(1) + (k * 7 + i * i * 13 + k * i) % 9).cast("int").alias("score"),
     )
 
@@ -93,7 +94,7 @@ def fx_strengths(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.element_at(_arr(FIXTURE_THEMES), F.col("_t")).alias("theme"), "n")
     # at most 12 rows per employee after the aggregate, so the window partition is small
     w = Window.partitionBy("employee_id").orderBy(F.col("n").desc(), F.col("theme"))
-    return counted.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= 5) \
+    return counted.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= STRENGTHS_HELD) \
         .select("employee_id", "theme", F.col("rn").cast("int").alias("rank"))
 
 
@@ -122,7 +123,7 @@ def fx_psych(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Dimension lookups (fixed values from the reference's dimension files): id -> name.
+# --- fixed values: dimension lookups, id -> name ------------------------------------------------
 GRADES = (("1", "III"), ("2", "IV"), ("3", "V"))
 EDUCATION = (("1", "D3"), ("2", "S1"), ("3", "S2"), ("4", "SMA"))
 PILLAR_LABELS = (
@@ -139,6 +140,12 @@ PILLAR_LABELS = (
 )
 
 
+# dimension name -> (driver table, key column, name column)
+DIMENSION_TABLES = {"company": ("region", "r_regionkey", "r_name"), "area": ("region", "r_regionkey", "r_name"),
+                    "position": ("nation", "n_nationkey", "n_name"), "department": ("supplier", "s_suppkey", "s_name"),
+                    "division": ("part", "p_partkey", "p_name"), "directorate": ("region", "r_regionkey", "r_name")}
+
+
 def dim_frame(spark: SparkSession, rows, key: str, name: str) -> DataFrame:
     """A dimension table (a handful of rows, fixed); joined with an explicit broadcast."""
     return spark.createDataFrame(list(rows), f"{key} string, {name} string")

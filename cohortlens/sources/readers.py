@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -28,10 +29,10 @@ def read_or_empty(spark: SparkSession, path: str | None, schema: StructType, fmt
         return spark.createDataFrame([], schema)
     try:
         return spark.read.format(fmt).schema(schema).load(path) if fmt != "parquet" else spark.read.parquet(path)
-    except Exception as exc:  # missing path -> AnalysisException (PATH_NOT_FOUND)
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return spark.createDataFrame([], schema)
-        raise
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def scan_project(df: DataFrame, columns: Sequence[str], keep_if_present: bool = False) -> DataFrame:

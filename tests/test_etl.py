@@ -1,6 +1,9 @@
 """CSV staging -> core Parquet: cleaning, dedup, idempotent upsert, quality report."""
 
-from cohortlens.plans.etl import build_core, quality_report
+import pytest
+from pyspark.errors import AnalysisException
+
+from cohortlens.plans.etl import build_core, clean_table, load_staging, quality_report
 
 
 def _write(d, name, text):
@@ -82,3 +85,25 @@ def test_reports_on_core_tables(spark, tmp_path):
     assert len(s) == 40 and min(r.success_v2 for r in s) == 0.0 and max(r.success_v2 for r in s) == 1.0
     disc = {r.employee_id: r.disc for r in b.psych_fixed.collect()}
     assert disc["e1"] == "SI" and disc["e0"] == "DS"
+
+
+def test_load_through_a_uri_and_missing_files(spark, tmp_path):
+    stg = tmp_path / "stg"
+    stg.mkdir()
+    _write(stg, "dim_grades", "grade_id,name\n1,III\n2, \n")
+    _write(stg, "strengths", "employee_id,rank,theme\ne1,1, \ne1,1,Context\ne1,2,\ne2,1,Learner\n")
+    uri = f"file://{stg}"
+    out = build_core(spark, uri, str(tmp_path / "core"), ["dim_grades", "strengths"])
+    assert [tuple(r) for r in out["dim_grades"].collect()] == [("1", "III")]  # a blank name is rejected
+    assert sorted((r.employee_id, r["rank"], r.theme) for r in out["strengths"].collect()) == [
+        ("e1", 1, "Context"), ("e2", 1, "Learner")]                           # a blank theme never wins
+    with pytest.raises(AnalysisException):
+        load_staging(spark, uri, ["dim_grades", "employees"])
+    staged = load_staging(spark, uri, ["dim_grades", "employees"], may_be_missing=["employees"])
+    assert staged["dim_grades"].count() == 2 and staged["employees"].count() == 0
+
+
+def test_survivors_prefer_real_values(spark):
+    raw = spark.createDataFrame([("e1", None, "2020"), ("e1", "3", "2020")], "employee_id string, rating string, year string")
+    rows = clean_table("performance_yearly", raw).collect()
+    assert [(r.employee_id, r.year, r.rating) for r in rows] == [("e1", 2020, 3)]

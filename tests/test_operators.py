@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import numpy as np
@@ -11,7 +12,7 @@ from cohortlens.operators.prefix import rank_rows
 from cohortlens.operators.quality import check_unique
 from cohortlens.operators.scale import scale_columns
 from cohortlens.plans import score_v2 as v2
-from cohortlens.plans.weights import grid_weights
+from cohortlens.plans.weights import MAIN_WEIGHTS
 
 
 def test_latest_per_key_nulls_first(spark):
@@ -194,11 +195,10 @@ def test_upsert_idempotent(spark):
     assert sorted(tuple(r) for r in once.collect()) == [(1, "a"), (2, "B"), (3, "c"), (4, "D")]
 
 
-def test_weight_grid():
-    g = grid_weights()
-    assert len(g) == 17
-    for w in g:
-        assert abs(w["competency"] + w["strengths"] + w["psychometric"] + w["context"] - 1.0) < 1e-12
+def test_main_weights_are_the_points_inside_the_context_range():
+    levels = ((0.45, 0.50, 0.55), (0.20, 0.25, 0.30), (0.10, 0.15, 0.20))
+    want = [p for p in itertools.product(*levels) if 0.05 <= 1.0 - (p[0] + p[1] + p[2]) <= 0.20]
+    assert list(MAIN_WEIGHTS) == want and len(want) == 17
 
 
 def test_top_fraction_ranks_rows_only_for_a_mixed_tie_at_the_cut(spark, monkeypatch):
@@ -222,3 +222,48 @@ def test_top_fraction_ranks_rows_only_for_a_mixed_tie_at_the_cut(spark, monkeypa
                                       "id long, label int, score double")
     r = ranking.top_fraction(mixed_tie, "score", "label", "id", (0.1,)).collect()[0]
     assert calls == [1] and r.prec_10 == 0.5  # first 4 of the tie by id: 30, 31, 32, 33
+
+
+def test_chi2_counts_zero_cells_without_losing_digits(spark):
+    """A category that lacks a label, at small and at very large counts; no zero cell leaves no remainder."""
+    def plain(table):
+        n = sum(map(sum, table))
+        r, c = [sum(x) for x in table], [sum(x) for x in zip(*table, strict=True)]
+        return sum((table[i][j] - r[i] * c[j] / n) ** 2 / (r[i] * c[j] / n) for i in range(len(r)) for j in range(len(c)))
+    tables = {"zero": [[30, 0, 5], [10, 20, 0], [7, 8, 9]], "full": [[3, 4], [5, 6], [7, 9]]}
+    rows = [(g, f"c{i}", j) for g, t in tables.items() for i, x in enumerate(t) for j, k in enumerate(x) for _ in range(k)]
+    got = {r.g: r for r in cohort.chi2_test(spark.createDataFrame(rows, "g string, cat string, label int"), "cat",
+                                            groups=["g"]).collect()}
+    for g, t in tables.items():
+        assert abs(got[g].chi2 - plain(t)) < 1e-9 * plain(t)
+    assert got["zero"].dof == 4 and got["full"].dof == 2
+
+
+def test_erfc_to_thirteen_digits(spark):
+    import math
+
+    from cohortlens.functions.distributions import erfc
+    xs = [-3.0, -0.5, 0.0, 1e-9, 0.3, 1.0, 1.9999, 2.0, 2.5, 4.0, 8.0, 20.0]
+    df = spark.createDataFrame([(x,) for x in xs], "x double").select("x", erfc("x").alias("y"))
+    for r in df.collect():
+        assert abs(r.y - math.erfc(r.x)) <= 1e-12 * math.erfc(r.x)
+
+
+def test_rank_metrics_have_no_split_array_and_one_data_sized_checkpoint(spark, monkeypatch):
+    sizes = []
+    real = ranking.cut_lineage
+
+    def spy(df):
+        sizes.append(df.columns)
+        return real(df)
+    monkeypatch.setattr(ranking, "cut_lineage", spy)
+    from cohortlens.operators import prefix
+    monkeypatch.setattr(prefix, "cut_lineage", spy)
+    df = spark.createDataFrame([(i, i % 3 == 0, i % 7, i % 50 / 10) for i in range(400)],
+                               "id long, label boolean, g long, score double").withColumn("label", F.col("label").cast("int"))
+    distinct = df.withColumn("score", F.col("score") + F.col("id") / 1e4)
+    out = ranking.evaluate_all(distinct, "score", "label", "id", keys=["g"])
+    assert len(sizes) == 2 and "_bucket" in sizes[0] and "_bucket" not in sizes[1]  # the curve, then one row per key
+    plan = out._jdf.queryExecution().toString()
+    assert "percentile" not in plan and "_splits" not in plan
+    assert out.count() == 7

@@ -48,7 +48,16 @@ def test_entry_smoke(spark):
 
 
 def test_incremental_load_cuts_reach_the_scan(spark, sf_small):
-    """The date cuts of the upsert and orphan queries are Parquet pushed filters, not row filters after the scan."""
-    for name in ("upsert_by_key", "quality_orphans"):
+    """The date cuts of the upsert are Parquet pushed filters, not row filters after the scan."""
+    plan = _plan(E.queries()["upsert_by_key"](spark, sf_small))
+    assert re.search(r"orders.parquet.*?PushedFilters: \[[^\]]*o_orderdate", plan, re.S)
+
+
+def test_v1_aligns_its_parts_without_a_full_join(spark, sf_small):
+    for name in ("success_score_v1_raw", "parts_full_outer"):
         plan = _plan(E.queries()[name](spark, sf_small))
-        assert re.search(r"orders.parquet.*?PushedFilters: \[[^\]]*o_orderdate", plan, re.S), name
+        assert "FullOuter" not in plan, name
+
+
+def test_orphans_need_no_distinct(spark, sf_small):
+    assert "Aggregate" not in _plan(E.queries()["quality_orphans"](spark, sf_small))

@@ -40,11 +40,11 @@ def test_dedup_hot_key(spark):
     df = spark.createDataFrame(rows, "employee_id string, year int, rating int, src_id long")
     got = {r.employee_id: (r.year, r.rating, r.src_id) for r in dedup_row_number(df, ["employee_id"]).collect()}
 
-    def asc_nulls_first(v):
-        return (0, 0) if v is None else (1, v)
+    def asc_nulls_last(v):
+        return (1, 0) if v is None else (0, v)
     best = {}
     for e, y, r, s in rows:
-        k = (asc_nulls_first(y), asc_nulls_first(r), s)
+        k = (asc_nulls_last(y), asc_nulls_last(r), s)
         if e not in best or k < best[e][0]:
             best[e] = (k, (y, r, s))
     assert got == {e: v for e, (_, v) in best.items()}
