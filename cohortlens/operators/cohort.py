@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from cohortlens.functions.columns import safe_div
 from cohortlens.functions.distributions import chi2_sf, normal_two_sided_p
 from cohortlens.operators.prefix import collapse_by_value, running_by_value
-from cohortlens.operators.scale import with_scalars
+from cohortlens.operators.scale import broadcast_if_small, with_scalars
 from cohortlens.session import cut_lineage
 
 
@@ -54,10 +54,9 @@ def mann_whitney_u(long: DataFrame, metric: str = "metric", value: str = "value"
     return mann_whitney_collapsed(g, metric, value, buckets)
 
 
-def mann_whitney_collapsed(g: DataFrame, metric: str, value: str, buckets: int | None = None,
-                           materialized: bool = False) -> DataFrame:
+def mann_whitney_collapsed(g: DataFrame, metric: str, value: str, buckets: int | None = None) -> DataFrame:
     """Mann-Whitney U from a collapsed table (metric, value, pos, n)."""
-    r = running_by_value(g, [metric], value, ("n",), buckets=buckets, materialized=materialized)
+    r = running_by_value(g, [metric], value, ("n",), buckets=buckets)
     before = F.col("cum_n") - F.col("n")
     rank = before + (F.col("n") + 1) / 2.0
     s = r.groupBy(metric).agg(
@@ -95,7 +94,7 @@ def cohort_compare_collapsed(g: DataFrame, metric: str, value: str) -> DataFrame
                                F.sum(v * pos).alias("_sh"), F.sum(v * neg).alias("_sn"))
     s1 = s1.withColumn("mean_high", safe_div(F.col("_sh"), F.col("n_high"))) \
            .withColumn("mean_non", safe_div(F.col("_sn"), F.col("n_non")))
-    dev = g.join(s1.select(metric, "mean_high", "mean_non"), metric).groupBy(metric).agg(
+    dev = g.join(broadcast_if_small(s1.select(metric, "mean_high", "mean_non")), metric).groupBy(metric).agg(
         F.sum(pos * (v - F.col("mean_high")) ** 2).alias("_m2h"),
         F.sum(neg * (v - F.col("mean_non")) ** 2).alias("_m2n"))
     a = s1.join(dev, metric)
@@ -114,7 +113,7 @@ def cohort_report(long: DataFrame, metric: str = "metric", value: str = "value",
     value-collapsed table (metric, value, positives, rows)."""
     g = cut_lineage(collapse_by_value(long.select(metric, value, label), [metric], value, label))
     base = cohort_compare_collapsed(g, metric, value)
-    mw = mann_whitney_collapsed(g, metric, value, buckets, materialized=True).select(metric, "p_mwu")
+    mw = mann_whitney_collapsed(g, metric, value, buckets).select(metric, "p_mwu")
     return base.join(mw, metric, "left")
 
 
@@ -157,7 +156,7 @@ def share_by_cohort(df: DataFrame, category: str, label: str = "label", scale: f
     d = df.where(F.col(category).isNotNull())  # NULL categories are not counted (as a pandas groupby)
     counts = d.groupBy(category, label).agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy(label).agg(F.sum("n").alias("total"))  # from the counts: one row per label value
-    pct = counts.join(F.broadcast(totals), label).withColumn("pct", safe_div(F.col("n"), F.col("total")) * F.lit(scale))
+    pct = counts.join(broadcast_if_small(totals), label).withColumn("pct", safe_div(F.col("n"), F.col("total")) * F.lit(scale))
     wide = pct.groupBy(category).agg(
         F.coalesce(F.max(F.when(F.col(label) == 0, F.col("pct"))), F.lit(0.0)).alias("pct_nonhigh"),
         F.coalesce(F.max(F.when(F.col(label) == 1, F.col("pct"))), F.lit(0.0)).alias("pct_high"))
@@ -167,33 +166,38 @@ def share_by_cohort(df: DataFrame, category: str, label: str = "label", scale: f
 def chi2_test(df: DataFrame, category: str, label: str = "label", groups: Sequence[str] = ()) -> DataFrame:
     """Chi-square test of independence category x label (+ Cramer's V), per ``groups``.
 
-    Zero cells count (each adds its expected count E), without building the category x label grid:
-    chi2 = sum_observed (O-E)^2/E + (N - sum_observed E). For a 2x2 table (dof 1) the Yates correction
-    applies; there |O-E| is the same D in all four cells, so chi2 = (D - min(0.5, D))^2 * N * sum(1/r) * sum(1/c).
-    A single category or label level -> NULL statistics. Columns: groups..., chi2, dof, p_value,
+    Zero cells count, each with its expected count E, without building the category x label grid: the labels a
+    category lacks have N minus the totals of those it has, in whole numbers, so nothing is lost at large N. For a
+    2x2 table (dof 1) the Yates correction applies; there |O-E| is the same D in all four cells, so
+    chi2 = (D - min(0.5, D))^2 * N * sum(1/r) * sum(1/c). A single category or label level -> NULL statistics.
+    The label totals go to the categories as one map per group. Columns: groups..., chi2, dof, p_value,
     cramers_v, n, n_categories, n_labels.
     """
     groups = list(groups)
     d = df.where(F.col(category).isNotNull() & F.col(label).isNotNull())
-    cells = d.groupBy(*groups, category, label).agg(F.count(F.lit(1)).alias("o"))
-    rows = cells.groupBy(*groups, category).agg(F.sum("o").alias("r"))
-    cols = cells.groupBy(*groups, label).agg(F.sum("o").alias("c"))
-    rstat = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("n_categories"), F.sum("r").alias("n"),
-                                      F.sum(F.lit(1.0) / F.col("r")).alias("_inv_r"))
-    cstat = cols.groupBy(*groups).agg(F.count(F.lit(1)).alias("n_labels"),
-                                      F.sum(F.lit(1.0) / F.col("c")).alias("_inv_c"))
-    marg = rstat.join(cstat, groups) if groups else with_scalars(rstat, cstat)  # one row each
-    full = cells.join(rows, [*groups, category]).join(cols, [*groups, label])
-    full = full.join(marg, groups) if groups else with_scalars(full, marg)
-    e = F.col("r") * F.col("c") / F.col("n")
-    dev = F.abs(F.col("o") - e)
-    stat = full.groupBy(*groups, "n", "n_categories", "n_labels", "_inv_r", "_inv_c").agg(
-        F.sum(dev * dev / e).alias("_obs"), F.sum(e).alias("_sum_e"), F.max(dev).alias("_d"))
-    n = F.col("n").cast("double")
+    cells = d.groupBy(*groups, category, F.col(label).alias("_l")).agg(F.count(F.lit(1)).alias("_o"))
+    labels = cells.groupBy(*groups, "_l").agg(F.sum("_o").alias("_c")).groupBy(*groups).agg(
+        F.map_from_entries(F.collect_list(F.struct("_l", "_c"))).alias("_totals"),
+        F.sum("_c").alias("n"), F.count(F.lit(1)).alias("n_labels"), F.sum(F.lit(1.0) / F.col("_c")).alias("_inv_c"))
+    rows = cells.groupBy(*groups, category).agg(F.sum("_o").alias("_r"),
+                                                F.collect_list(F.struct("_l", "_o")).alias("_cells"))
+    full = rows.join(labels, groups) if groups else with_scalars(rows, labels)
+    n, r = F.col("n").cast("double"), F.col("_r").cast("double")
+
+    def expected(x):
+        return r * F.element_at("_totals", x["_l"]) / n
+
+    def dev(x):
+        return F.abs(x["_o"] - expected(x))
+    zero = F.lit(0.0)
+    observed = F.aggregate("_cells", zero, lambda s, x: s + dev(x) * dev(x) / expected(x))
+    lacking = F.col("n") - F.aggregate("_cells", F.lit(0).cast("long"), lambda s, x: s + F.element_at("_totals", x["_l"]))
+    stat = full.groupBy(*groups, "n", "n_labels", "_inv_c").agg(
+        F.sum(observed + r * lacking / n).alias("_obs"), F.max(F.array_max(F.transform("_cells", dev))).alias("_d"),
+        F.count(F.lit(1)).alias("n_categories"), F.sum(F.lit(1.0) / r).alias("_inv_r"))
     yates = (F.col("n_categories") == 2) & (F.col("n_labels") == 2)
     dc = F.col("_d") - F.least(F.lit(0.5), F.col("_d"))
-    raw = F.when(yates, dc * dc * n * F.col("_inv_r") * F.col("_inv_c")) \
-           .otherwise(F.col("_obs") + F.greatest(n - F.col("_sum_e"), F.lit(0.0)))
+    raw = F.when(yates, dc * dc * n * F.col("_inv_r") * F.col("_inv_c")).otherwise(F.col("_obs"))
     valid = (F.col("n_categories") >= 2) & (F.col("n_labels") >= 2)
     dof = ((F.col("n_categories") - 1) * (F.col("n_labels") - 1)).cast("int")
     k = F.least(F.col("n_categories"), F.col("n_labels")) - 1

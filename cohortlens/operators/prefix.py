@@ -5,12 +5,11 @@ curves) and the top-fraction metrics (precision/capture at K, which rank only th
 
 ``running_by_value``
     Input is a *collapsed* table: one row per (keys..., value) with additive measures (e.g. positives
-    and rows per distinct score). Values are cut into range buckets whose split points come from
-    ``percentile_approx`` over the distinct values of each key; per-bucket totals (keys x buckets rows)
-    give each bucket's offset, and a window partitioned by (keys, bucket) adds the running sum inside
-    the bucket. Buckets are a function of the value, so the result is deterministic, and a key with a
-    huge number of distinct values is split across many tasks. A heavy single value is one row after
-    the collapse (map-side partial aggregation), so it cannot skew the window.
+    and rows per distinct score). ``repartitionByRange`` on (keys..., value) gives each partition a
+    contiguous run, whatever the number of keys and however many values one key has; the totals of
+    each (key, partition) give the offsets, and a window partitioned by (keys, partition) adds the
+    running sum inside. A heavy single value is one row after the collapse (map-side partial
+    aggregation), so it cannot skew the window.
 
 ``rank_rows``
     Exact 1-based row rank within groups under a composite order (e.g. score desc, id asc) for data
@@ -40,57 +39,28 @@ def collapse_by_value(df: DataFrame, keys: Sequence[str], value: str, label: str
             .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("n")))
 
 
-def _attach_splits(g: DataFrame, keys: Sequence[str], value: str, buckets: int, accuracy: int) -> DataFrame:
-    probs = [i / buckets for i in range(1, buckets)]
-    splits = g.groupBy(*keys).agg(
-        F.percentile_approx(F.col(value).cast("double"), probs, accuracy).alias("_splits"))
-    # The bucket totals and the rows must use the same split points; a sketch merged in a different
-    # order could move them, so the (keys x buckets) split table is materialised once.
-    splits = cut_lineage(splits)
-    if keys:
-        # one row per key; AQE broadcasts it when it is under the size threshold
-        joined = g.join(splits, list(keys))
-    else:
-        joined = g.withColumn("_splits", splits.select("_splits").scalar())  # one row: scalar subquery
-    v = F.col(value).cast("double")
-    bucket = F.coalesce(F.size(F.filter("_splits", lambda s: s < v)), F.lit(0))
-    return joined.withColumn("_bucket", bucket).drop("_splits")
-
-
 def running_by_value(g: DataFrame, keys: Sequence[str], value: str, measures: Sequence[str] = ("pos", "n"),
-                     buckets: int | None = None, accuracy: int | None = None,
-                     materialized: bool = False) -> DataFrame:
+                     buckets: int | None = None) -> DataFrame:
     """Add ``cum_<m>`` (running sum over ascending value, inclusive) and ``tot_<m>`` per key.
 
-    ``g`` must hold one row per (keys, value). Descending running sums follow as
-    ``tot_m - cum_m + m``. ``g`` feeds the split sketch, the bucket totals and the rows, so unless the
-    caller already did (``materialized=True``) it is checkpointed once: the input behind it is scanned
-    and aggregated a single time.
+    ``g`` must hold one row per (keys, value). Descending running sums follow as ``tot_m - cum_m + m``.
+    The range-partitioned rows are checkpointed once: the totals and the rows must see the same bounds.
     """
     keys = list(keys)
-    if not materialized:
-        g = cut_lineage(g)
     b = buckets or default_buckets(g.sparkSession)
-    # the sketch only balances buckets: a rank error well below 1/b of the distinct values is enough;
-    # capped so a cluster-sized bucket count keeps each per-key sketch at a few MB
-    gb = _attach_splits(g, keys, value, b, accuracy or min(max(1000, 20 * b), 100_000))
-    # per-bucket totals: at most (#keys x b) rows
-    btot = gb.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(f"_b_{m}") for m in measures])
-    wk = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))  # tiny: #buckets rows
-    wprev = wk.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    btot = btot.select(
+    ranged = cut_lineage(g.repartitionByRange(b, *keys, value).withColumn("_bucket", F.spark_partition_id()))
+    # a partition holds a contiguous run of (keys, value): at most #keys + #partitions totals in all
+    totals = ranged.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(f"_b_{m}") for m in measures])
+    wk = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))  # one row per partition
+    before = wk.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(
         *keys, "_bucket",
-        *[F.coalesce(F.sum(f"_b_{m}").over(wprev), F.lit(0)).alias(f"_off_{m}") for m in measures],
-        *[F.sum(f"_b_{m}").over(wk).alias(f"tot_{m}") for m in measures],
-    )
-    rows = gb.join(btot, [*keys, "_bucket"])
-    wrun = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    out = rows.select(
-        *g.columns,
-        *[(F.col(f"_off_{m}") + F.sum(m).over(wrun)).alias(f"cum_{m}") for m in measures],
-        *[F.col(f"tot_{m}") for m in measures],
-    )
-    return out
+        *[F.coalesce(F.sum(f"_b_{m}").over(before), F.lit(0)).alias(f"_off_{m}") for m in measures],
+        *[F.sum(f"_b_{m}").over(wk).alias(f"tot_{m}") for m in measures])
+    rows = ranged.join(totals, [*keys, "_bucket"])
+    run = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.select(*g.columns, *[(F.col(f"_off_{m}") + F.sum(m).over(run)).alias(f"cum_{m}") for m in measures],
+                       *[F.col(f"tot_{m}") for m in measures])
 
 
 def rank_rows(df: DataFrame, order: Sequence[Column], groups: Sequence[str] = (),

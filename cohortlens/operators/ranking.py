@@ -1,15 +1,15 @@
 """Exact ranking metrics of a score against a 0/1 label, per optional key (metric / group / grid id).
 
 All metrics run on the value-collapsed table (one row per distinct score) with distributed running
-sums; precision/capture at K read their cut from it and rank by id (ties broken by id ascending) only
-the rows of a tie group, holding both labels, that the cut splits.
+sums, in one aggregate; precision/capture at K take their cut from the same aggregate and rank by id
+(ties broken by id ascending) only the rows of a tie group, holding both labels, that the cut splits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.columns import safe_div
@@ -17,6 +17,7 @@ from cohortlens.operators.prefix import collapse_by_value, rank_rows, running_by
 from cohortlens.operators.scale import with_scalars
 from cohortlens.session import cut_lineage
 
+CUTS_SENT = 100_000  # cut rows (under 100 bytes each) that are broadcast to find the rows of split ties
 
 def curve_table(df: DataFrame, score: str, label: str, keys: Sequence[str] = (),
                 buckets: int | None = None) -> DataFrame:
@@ -28,18 +29,30 @@ def curve_table(df: DataFrame, score: str, label: str, keys: Sequence[str] = (),
             .withColumn("dn", F.col("tot_n") - F.col("cum_n") + F.col("n"))
 
 
-def _threshold_metrics(ct: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """roc_auc, pr_auc (average precision), ks per key from a curve table."""
+def _summary(ct: DataFrame, keys: Sequence[str], score: str = "", ks: Sequence[float] = ()) -> DataFrame:
+    """One row per key from one pass over a curve table: roc_auc, pr_auc (average precision), ks, n, n_pos, and per
+    entry i of ``ks`` the struct ``_c<i>``: the one distinct score that holds the m-th row from the top.
+
+    In the struct: m = max(1, ceil(k * n)), the score (cut), how many rows of its tie are in the top (r), positives
+    above it, positives and rows of the tie.
+    """
     P = F.col("tot_pos").cast("double")
     Nn = (F.col("tot_n") - F.col("tot_pos")).cast("double")
     rank = F.col("cum_n") - F.col("n") + (F.col("n") + 1) / 2.0
     f1 = safe_div(F.col("cum_pos"), P)
     f0 = safe_div(F.col("cum_n") - F.col("cum_pos"), Nn)
+    above = F.col("dn") - F.col("n")
+    cuts = []
+    for i, k in enumerate(ks):
+        m = F.least(F.greatest(F.lit(1), F.ceil(F.lit(float(k)) * F.col("tot_n"))), F.col("tot_n"))
+        cuts.append(F.max(F.when((above < m) & (m <= F.col("dn")), F.struct(
+            F.col(score).alias("cut"), m.alias("m"), (m - above).alias("r"),
+            (F.col("dpos") - F.col("pos")).alias("above_pos"), F.col("pos").alias("tie_pos"),
+            F.col("n").alias("tie_n")))).alias(f"_c{i}"))
     a = ct.groupBy(*keys, "tot_pos", "tot_n").agg(
         F.sum(F.col("pos") * rank).alias("_r1"),
         F.sum(F.when(P > 0, safe_div(F.col("pos"), P) * safe_div(F.col("dpos"), F.col("dn")))).alias("_ap"),
-        F.max(F.when((P > 0) & (Nn > 0), F.abs(f1 - f0))).alias("_ks"),
-    )
+        F.max(F.when((P > 0) & (Nn > 0), F.abs(f1 - f0))).alias("_ks"), *cuts)
     both = (P > 0) & (Nn > 0)
     u1 = F.col("_r1") - P * (P + 1) / 2.0
     return a.select(
@@ -48,9 +61,15 @@ def _threshold_metrics(ct: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.when(P > 0, F.col("_ap")).alias("pr_auc"),
         F.when(both, F.col("_ks")).alias("ks"),
         F.col("tot_n").alias("n"), F.col("tot_pos").alias("n_pos"),
+        *[F.col(f"_c{i}") for i in range(len(ks))],
     )
 
 
+def _threshold_metrics(ct: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """roc_auc, pr_auc (average precision), ks per key from a curve table."""
+    return _summary(ct, keys)
+
+
 def roc_auc(df, score, label, keys=(), buckets=None) -> DataFrame:
     return _threshold_metrics(curve_table(df, score, label, keys, buckets), keys).select(*keys, "roc_auc")
 
@@ -64,63 +83,60 @@ def ks_statistic(df, score, label, keys=(), buckets=None) -> DataFrame:
 
 
 def _k_name(k: float) -> str:
-    return str(int(round(k * 100)))
+    return f"{k * 100:.6g}".replace(".", "_")
 
 
-def top_fraction(df: DataFrame, score: str, label: str, id_col: str, ks: Sequence[float] = (0.1, 0.2),
-                 keys: Sequence[str] = (), buckets: int | None = None, with_counts: bool = False,
-                 curve: DataFrame | None = None) -> DataFrame:
-    """precision@k and capture@k per key for every k: top m = max(1, ceil(k*n)) rows by
-    (score desc, id asc, label desc). Columns: keys..., prec_<k>, capt_<k> (capture NULL without
-    positives), plus n and n_pos when ``with_counts``. Rows with a NULL score or NULL key are left out.
+def _with_top(df: DataFrame, score: str, label: str, id_col: str, ks: Sequence[float], keys: Sequence[str],
+              buckets: int | None) -> DataFrame:
+    """The summary of every key plus prec_<k> and capt_<k> for every k.
 
-    Read off the value-collapsed curve table (``curve``, built here when not given): for each k the cut
-    is the one distinct score whose descending cumulative count first reaches m; every row above it is
-    in the top, and of the tie group at the cut the first r = m - (rows above) rows by id are. Only a
-    tie group holding both labels needs those r rows found, so only its rows are ranked by id, with the
-    distributed ``rank_rows`` (a hot tied value is split by id over range partitions).
+    Every row above the cut is in the top, and of the tie at the cut the first r by id are. Only a tie holding both
+    labels needs those rows found, so only its rows are ranked by id, with the distributed ``rank_rows`` (a hot tied
+    value is split by id over range partitions).
     """
     keys = list(keys)
     d = df.select(*keys, score, label, id_col).where(F.col(score).isNotNull())
     for k in keys:
         d = d.where(F.col(k).isNotNull())
-    ct = curve if curve is not None else curve_table(d, score, label, keys, buckets)
-    for k in keys:
-        ct = ct.where(F.col(k).isNotNull())
-    karr = F.array(*[F.struct(F.lit(i).alias("_ki"), F.lit(float(k)).alias("_kv")) for i, k in enumerate(ks)])
-    x = ct.select(*keys, score, "pos", "n", "dpos", "dn", "tot_n", "tot_pos", F.explode(karr).alias("_kk"))
-    x = x.withColumn("_m", F.least(F.greatest(F.lit(1), F.ceil(F.col("_kk._kv") * F.col("tot_n"))), F.col("tot_n")))
-    above = F.col("dn") - F.col("n")
-    # exactly one distinct score per (key, k) holds the m-th row
-    cut = x.where((above < F.col("_m")) & (F.col("_m") <= F.col("dn"))).select(
-        *keys, F.col("_kk._ki").alias("_ki"), F.col(score).alias("_cut"), "_m", "tot_n", "tot_pos",
-        (F.col("_m") - above).alias("_r"), (F.col("dpos") - F.col("pos")).alias("_above_pos"),
-        F.col("pos").alias("_tie_pos"), F.col("n").alias("_tie_n"))
-    cut = cut_lineage(cut)  # <= #keys x #ks rows; read by the emptiness check, the tie join and the result
-    mixed = cut.where((F.col("_tie_pos") > 0) & (F.col("_tie_pos") < F.col("_tie_n")))
-    tie_hits = F.when(F.col("_tie_pos") == 0, F.lit(0)).when(F.col("_tie_pos") == F.col("_tie_n"), F.col("_r"))
-    if not mixed.isEmpty():
+    # one row per key; read by the check for split ties and by the result
+    s = cut_lineage(_summary(curve_table(d, score, label, keys, buckets), keys, score, ks))
+    listed = s.select(*keys, F.posexplode(F.array(*[F.col(f"_c{i}") for i in range(len(ks))])).alias("_ki", "_c"))
+    mixed = listed.where("_c.tie_pos > 0 and _c.tie_pos < _c.tie_n")
+    n_mixed = mixed.count()
+    names = [f"_t{i}" for i in range(len(ks))]
+    if n_mixed:
         # distinct names on the cut side, so the join needs no qualified (self-join) references
-        m = mixed.select(*[F.col(k).alias(f"_jk{i}") for i, k in enumerate(keys)], "_ki", "_cut", "_r")
+        m = mixed.select(*[F.col(k).alias(f"_jk{i}") for i, k in enumerate(keys)], "_ki", F.col("_c.cut").alias("_cut"),
+                         F.col("_c.r").alias("_r"))
+        m = F.broadcast(m) if n_mixed <= CUTS_SENT else m
         cond = [F.col(k) == F.col(f"_jk{i}") for i, k in enumerate(keys)] + [F.col(score) == F.col("_cut")]
         rows = d.join(m, cond).select(*keys, "_ki", "_r", id_col, label)
         ranked = rank_rows(rows, [F.col(id_col).asc(), F.col(label).desc()], [*keys, "_ki"], buckets)
-        tie = ranked.groupBy(*keys, "_ki").agg(
-            F.sum(F.when(F.col("rank") <= F.col("_r"), F.col(label).cast("long")).otherwise(0)).alias("_tie_hits"))
-        cut = cut.join(tie, [*keys, "_ki"], "left")
-        tie_hits = tie_hits.otherwise(F.coalesce(F.col("_tie_hits"), F.lit(0)))
-    per_k = cut.select(*keys, "_ki", "_m", "tot_n", "tot_pos", (F.col("_above_pos") + tie_hits).alias("_h"))
-    a = per_k.groupBy(*keys, "tot_n", "tot_pos").agg(
-        *[F.max(F.when(F.col("_ki") == i, F.col("_h"))).alias(f"_h{i}") for i in range(len(ks))],
-        *[F.max(F.when(F.col("_ki") == i, F.col("_m"))).alias(f"_m{i}") for i in range(len(ks))])
+        tie = ranked.where(F.col("rank") <= F.col("_r")).groupBy(*keys).agg(
+            *[F.sum(F.when(F.col("_ki") == i, F.col(label).cast("long")).otherwise(0)).alias(n)
+              for i, n in enumerate(names)])
+        s = s.join(tie, keys, "left") if keys else with_scalars(s, tie)
+    else:
+        s = s.select("*", *[F.lit(0).cast("long").alias(n) for n in names])
     out = []
     for i, k in enumerate(ks):
-        name = _k_name(k)
-        out.append(safe_div(F.col(f"_h{i}"), F.col(f"_m{i}")).alias(f"prec_{name}"))
-        out.append(F.when(F.col("tot_pos") > 0, safe_div(F.col(f"_h{i}"), F.col("tot_pos"))).alias(f"capt_{name}"))
-    if with_counts:
-        out += [F.col("tot_n").alias("n"), F.col("tot_pos").alias("n_pos")]
-    return a.select(*keys, *out)
+        c = F.col(f"_c{i}")
+        in_tie = F.when(c["tie_pos"] == 0, F.lit(0)).when(c["tie_pos"] == c["tie_n"], c["r"]) \
+            .otherwise(F.coalesce(F.col(names[i]), F.lit(0)))
+        hits = c["above_pos"] + in_tie
+        out += [safe_div(hits, c["m"]).alias(f"prec_{_k_name(k)}"),
+                F.when(F.col("n_pos") > 0, safe_div(hits, F.col("n_pos"))).alias(f"capt_{_k_name(k)}")]
+    return s.select(*keys, "roc_auc", "pr_auc", "ks", "n", "n_pos", *out)
+
+
+def top_fraction(df: DataFrame, score: str, label: str, id_col: str, ks: Sequence[float] = (0.1, 0.2),
+                 keys: Sequence[str] = (), buckets: int | None = None, with_counts: bool = False) -> DataFrame:
+    """precision@k and capture@k per key for every k: top m = max(1, ceil(k*n)) rows by
+    (score desc, id asc, label desc). Columns: keys..., prec_<k>, capt_<k> (capture NULL without
+    positives), plus n and n_pos when ``with_counts``. Rows with a NULL score or NULL key are left out."""
+    a = _with_top(df, score, label, id_col, ks, keys, buckets)
+    cols = [c for k in ks for c in (f"prec_{_k_name(k)}", f"capt_{_k_name(k)}")]
+    return a.select(*keys, *cols, *(["n", "n_pos"] if with_counts else []))
 
 
 def precision_at_k(df, score, label, id_col, k=0.1, keys=(), buckets=None) -> DataFrame:
@@ -133,18 +149,10 @@ def capture_at_k(df, score, label, id_col, k=0.1, keys=(), buckets=None) -> Data
 
 def evaluate_all(df: DataFrame, score: str, label: str, id_col: str, keys: Sequence[str] = (),
                  ks: Sequence[float] = (0.1, 0.2), with_ks: bool = True, buckets: int | None = None) -> DataFrame:
-    """roc_auc, pr_auc, prec_/capt_ for each k, and ks, one row per key. The threshold metrics and the
-    top fractions read one curve table (one collapse of the input)."""
-    keys = list(keys)
-    # one row per (key, distinct score), read by the threshold metrics and by the top-fraction cuts
-    ct = cut_lineage(curve_table(df, score, label, keys, buckets))
-    thr = _threshold_metrics(ct, keys)
-    top = top_fraction(df, score, label, id_col, ks, keys, buckets, curve=ct)
-    j = thr.join(top, keys) if keys else with_scalars(thr, top)  # both sides are one row when global
+    """roc_auc, pr_auc, prec_/capt_ for each k, and ks, one row per key, all from one pass over one curve table."""
+    a = _with_top(df, score, label, id_col, ks, keys, buckets)
     cols = ["roc_auc", "pr_auc"] + [c for k in ks for c in (f"prec_{_k_name(k)}", f"capt_{_k_name(k)}")]
-    if with_ks:
-        cols.append("ks")
-    return j.select(*keys, *cols)
+    return a.select(*keys, *cols, *(["ks"] if with_ks else []))
 
 
 def roc_curve(df: DataFrame, score: str, label: str, keys: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
@@ -153,12 +161,11 @@ def roc_curve(df: DataFrame, score: str, label: str, keys: Sequence[str] = (), b
     ct = curve_table(df, score, label, keys, buckets)
     P = F.col("tot_pos").cast("double")
     Nn = (F.col("tot_n") - F.col("tot_pos")).cast("double")
-    pts = ct.select(*keys, F.col(score).cast("double").alias("threshold"),
-                    F.when(Nn > 0, safe_div(F.col("dn") - F.col("dpos"), Nn)).alias("fpr"),
-                    F.when(P > 0, safe_div(F.col("dpos"), P)).alias("tpr"))
-    start = ct.groupBy(*keys).agg(F.lit(None).cast("double").alias("threshold"),
-                                  F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
-    return pts.unionByName(start)
+    point = F.struct(F.col(score).cast("double").alias("threshold"),
+                     F.when(Nn > 0, safe_div(F.col("dn") - F.col("dpos"), Nn)).alias("fpr"),
+                     F.when(P > 0, safe_div(F.col("dpos"), P)).alias("tpr"))
+    start = F.struct(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return _with_end(ct, keys, point, start)
 
 
 def roc_auc_trapezoid(df: DataFrame, score: str, label: str, keys: Sequence[str] = (),
@@ -179,12 +186,19 @@ def pr_curve(df: DataFrame, score: str, label: str, keys: Sequence[str] = (), bu
     with a NULL threshold. All thresholds are kept."""
     ct = curve_table(df, score, label, keys, buckets)
     P = F.col("tot_pos").cast("double")
-    pts = ct.select(*keys, F.col(score).cast("double").alias("threshold"),
-                    safe_div(F.col("dpos"), F.col("dn")).alias("precision"),
-                    F.when(P > 0, safe_div(F.col("dpos"), P)).otherwise(F.lit(1.0)).alias("recall"))
-    end = ct.groupBy(*keys).agg(F.lit(None).cast("double").alias("threshold"),
-                                F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
-    return pts.unionByName(end)
+    point = F.struct(F.col(score).cast("double").alias("threshold"),
+                     safe_div(F.col("dpos"), F.col("dn")).alias("precision"),
+                     F.when(P > 0, safe_div(F.col("dpos"), P)).otherwise(F.lit(1.0)).alias("recall"))
+    end = F.struct(F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"),
+                   F.lit(0.0).alias("recall"))
+    return _with_end(ct, keys, point, end)
+
+
+def _with_end(ct: DataFrame, keys: Sequence[str], point: Column, end: Column) -> DataFrame:
+    """One point per row of the curve table; the row of the highest score brings the curve's end point as well."""
+    highest = F.col("dn") == F.col("n")
+    return ct.select(*keys, F.explode(F.when(highest, F.array(point, end)).otherwise(F.array(point))).alias("_p")) \
+        .select(*keys, "_p.*")
 
 
 def precision_at_k_by_group(df: DataFrame, group_cols: Sequence[str], score: str, label: str, id_col: str,
@@ -205,5 +219,3 @@ def precision_at_k_by_group(df: DataFrame, group_cols: Sequence[str], score: str
     res = with_scalars(top.where(F.col("n") >= min_n), base)
     return res.select("factor", "grp", F.col(f"prec_{name}"),
                       ((F.col(f"prec_{name}") - F.col("_base")) * 100.0).alias("uplift_vs_base_pp"), "n")
-
-

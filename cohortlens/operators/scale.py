@@ -21,6 +21,14 @@ def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.select("*", *[one_row.select(F.col(c)).scalar().alias(c) for c in one_row.columns])
 
 
+SMALL_ROWS = 100_000  # rows of a few numbers each: some ten MB at most
+
+
+def broadcast_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if a count finds at most ``rows`` of them, else as it is (a shuffled join)."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def attach_scalars(df: DataFrame, *aggs: Column) -> DataFrame:
     """Attach global aggregates of ``df`` (no grouping key, so exactly one row) to each of its rows."""
     return with_scalars(df, df.agg(*aggs))
@@ -78,10 +86,3 @@ def zscore_clip(df: DataFrame, c: str, out: str = "z_clip") -> DataFrame:
 
 def minmax01(df: DataFrame, c: str, out: str = "minmax") -> DataFrame:
     return scale_columns(df, [("minmax", c, out)])
-
-
-def zscore_by_key(long: DataFrame, key: str, value: str, out: str = "z") -> DataFrame:
-    """z per key (e.g. per pillar) in a long frame: grouped stats joined back on the key."""
-    st = long.groupBy(key).agg(F.avg(F.col(value).cast("double")).alias("_m"),
-                               F.stddev_pop(F.col(value).cast("double")).alias("_sd"))
-    return long.join(st, key).withColumn(out, z_expr(value, F.col("_m"), F.col("_sd"))).drop("_m", "_sd")

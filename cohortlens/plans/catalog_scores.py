@@ -11,7 +11,7 @@ from cohortlens.plans import score_v2 as v2
 from cohortlens.plans.inputs import Bundle
 from cohortlens.plans.oracle_sql import evaluate_sql
 from cohortlens.plans.registry import query
-from cohortlens.plans.weights import grid_weights, weight_search_metrics
+from cohortlens.plans.weights import weight_search_metrics
 from cohortlens.session import cut_lineage
 
 
@@ -264,16 +264,42 @@ def q_success_v1_raw(spark, sf_dir):
     return v1.success_score_v1(*_v1_inputs(Bundle(spark, sf_dir)), minmax=False)
 
 
-def _grid_sql() -> str:
-    rows = ", ".join(f"({g['grid_id']}, CAST({g['competency']!r} AS DOUBLE), CAST({g['strengths']!r} AS DOUBLE), "
-                     f"CAST({g['psychometric']!r} AS DOUBLE), CAST({g['context']!r} AS DOUBLE))" for g in grid_weights())
-    return f"(VALUES {rows}) g(grid_id, wc, ws, wp, wx)"
+# fixed values, typed for the oracle: (point, competency, strengths, psychometric)
+GRID_SQL = """(SELECT *, CAST(1.0 AS DOUBLE) - (wc + ws + wp) AS wx FROM (
+  SELECT a AS grid_id, CAST(b AS DOUBLE) AS wc, CAST(c AS DOUBLE) AS ws, CAST(d AS DOUBLE) AS wp FROM (VALUES
+  (1, 0.45, 0.20, 0.15), (2, 0.45, 0.20, 0.20), (3, 0.45, 0.25, 0.15), (4, 0.45, 0.25, 0.20), (5, 0.45, 0.30, 0.10),
+  (6, 0.45, 0.30, 0.15), (7, 0.45, 0.30, 0.20), (8, 0.50, 0.20, 0.15), (9, 0.50, 0.20, 0.20), (10, 0.50, 0.25, 0.10),
+  (11, 0.50, 0.25, 0.15), (12, 0.50, 0.25, 0.20), (13, 0.50, 0.30, 0.10), (14, 0.55, 0.20, 0.10),
+  (15, 0.55, 0.20, 0.15), (16, 0.55, 0.20, 0.20), (17, 0.55, 0.25, 0.10)) v(a, b, c, d)) w) g"""
+
+
+def eval_frame_v1(b: Bundle):
+    """Score v1 with its parts, the latest rating and the label of every scored employee."""
+    lab = b.perf_latest.select("employee_id", "rating")
+    s = v1.success_score_v1(*_v1_inputs(b))
+    return s.join(lab, "employee_id", "left").withColumn("is_high", label_cohort("rating"))
+
+
+EVAL_V1 = {**V1, "eval_v1": "SELECT s.*, l.rating, CASE WHEN l.rating = 5 THEN 1 ELSE 0 END AS is_high "
+                            "FROM score_v1 s LEFT JOIN perf_latest l ON s.employee_id = l.employee_id"}
+
+
+@query("score_eval_frame_v1", SCORE_V1_SPEC + ", rating:i, is_high:i", "SELECT * FROM eval_v1", EVAL_V1)
+def q_score_eval_frame_v1(spark, sf_dir):
+    return eval_frame_v1(Bundle(spark, sf_dir))
+
+
+@query("evaluate_success_v1", EVAL_SPEC,
+       evaluate_sql("SELECT is_high AS y, success_score AS v, employee_id AS id FROM eval_v1", ks=(0.1, 0.2, 0.3)), EVAL_V1)
+def q_evaluate_v1(spark, sf_dir):
+    return evaluate_all(cut_lineage(eval_frame_v1(Bundle(spark, sf_dir))), "success_score", "is_high", "employee_id",
+                        ks=(0.1, 0.2, 0.3))
 
 
 @query("weight_search_metrics", "grid_id:i, roc_auc:d, pr_auc:d, prec_10:d, capt_10:d, prec_20:d, capt_20:d, ks:d",
        evaluate_sql(f"""SELECT g.grid_id, CASE WHEN l.rating = 5 THEN 1 ELSE 0 END AS y,
   g.wc * r.comp_score + g.ws * r.str_score + g.wp * r.psy_score + g.wx * r.ctx_adj AS v, r.employee_id AS id
-FROM raw_v1 r LEFT JOIN perf_latest l ON r.employee_id = l.employee_id CROSS JOIN {_grid_sql()}""", keys=["grid_id"]),
+FROM raw_v1 r LEFT JOIN perf_latest l ON r.employee_id = l.employee_id CROSS JOIN {GRID_SQL}""", keys=["grid_id"]),
        V1)
 def q_weight_search(spark, sf_dir):
     b = Bundle(spark, sf_dir)

@@ -88,9 +88,12 @@ def q_cohort_compare(spark, sf_dir):
     return cohort.cohort_compare(lineitem_long(spark, sf_dir))
 
 
-@query("mann_whitney_u", "metric:s, u_stat:d, p_mwu:d, n_high:l, n_non:l", mwu_sql(LI_LONG_SQL, ["metric"]))
+# the logarithm shows small p-values that six decimals would round to 0
+@query("mann_whitney_u", "metric:s, u_stat:d, p_mwu:d, log10_p:d, n_high:l, n_non:l",
+       f"SELECT *, CASE WHEN p_mwu > 0 THEN log10(p_mwu) END AS log10_p FROM ({mwu_sql(LI_LONG_SQL, ['metric'])}) m")
 def q_mann_whitney(spark, sf_dir):
-    return cohort.mann_whitney_u(lineitem_long(spark, sf_dir))
+    m = cohort.mann_whitney_u(lineitem_long(spark, sf_dir))
+    return m.withColumn("log10_p", F.when(F.col("p_mwu") > 0, F.log10("p_mwu")))
 
 
 @query("cohort_report", "metric:s, mean_high:d, mean_non:d, delta:d, cohens_d:d, p_mwu:d, n_high:l, n_non:l",

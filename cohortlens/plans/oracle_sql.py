@@ -33,7 +33,7 @@ FROM ({curve_sql(src, keys)}) c0 {gb}"""
 
 
 def kname(k: float) -> str:
-    return str(int(round(k * 100)))
+    return f"{k * 100:.6g}".replace(".", "_")
 
 
 def top_sql(src: str, keys: Sequence[str] = (), ks=(0.1, 0.2)) -> str:
@@ -77,20 +77,15 @@ def mwu_sql(src: str, keys: Sequence[str] = ("metric",)) -> str:
 FROM ({agg}) a0"""
 
 
-# --- fixed values: erfcc polynomial coefficients (Numerical Recipes), lowest order first --------
-_ERFCC = (-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
-          0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277)
-# ----------------------------------------------------------------------------------------------
-
-
 def erfc_sql(x: str) -> str:
+    """Complementary error function by Simpson's rule: 2 / sqrt(pi) * exp(-z^2) * integral of exp(-u^2 - 2zu), u from
+    0 to 6.5 in 4,000 steps."""
     z = f"abs({x})"
-    t = f"(1.0 / (1.0 + 0.5 * {z}))"
-    poly = f"CAST({_ERFCC[-1]} AS DOUBLE)"
-    for coef in reversed(_ERFCC[1:-1]):
-        poly = f"(CAST({coef} AS DOUBLE) + {t} * {poly})"
-    poly = f"(CAST({_ERFCC[0]} AS DOUBLE) + {t} * {poly})"
-    ans = f"({t} * exp(-{z} * {z} + {poly}))"
+    u = "(i * 6.5 / 4000)"
+    weight = "(CASE WHEN i = 0 OR i = 4000 THEN 1.0 WHEN i % 2 = 1 THEN 4.0 ELSE 2.0 END)"
+    area = (f"(SELECT sum({weight} * exp(-CAST({u} AS DOUBLE) * {u} - 2.0 * {z} * {u})) * 6.5 / 4000 / 3 "
+            "FROM range(0, 4001) simpson(i))")
+    ans = f"(2.0 / sqrt(pi()) * exp(-{z} * {z}) * {area})"
     return f"(CASE WHEN ({x}) >= 0 THEN {ans} ELSE 2.0 - {ans} END)"
 
 

@@ -28,7 +28,7 @@ def report_competency(b: Bundle) -> DataFrame:
     long = _labelled(b, b.comp_latest).select(F.col("pillar_code").alias("metric"),
                                               F.col("score").alias("value"), "label")
     r = cohort_report(long).withColumnRenamed("metric", "pillar_code")
-    r = r.join(F.broadcast(b.pillar_labels), "pillar_code", "left")
+    r = r.join(b.pillar_labels, "pillar_code", "left")  # one row per pillar on the left
     return r.select("pillar_code", "pillar_label", "mean_high", "mean_non", "delta", "cohens_d", "p_mwu",
                     "n_high", "n_non").orderBy(F.col("cohens_d").desc(), F.col("delta").desc())
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.functions.columns import safe_div
 from cohortlens.operators.scale import attach_scalars, minmax_expr, scale_columns, with_scalars, z_expr
 from cohortlens.session import cut_lineage
+from cohortlens.sources.schemas import ensure_columns
 
 # --- fixed values (v1 rule) ---------------------------------------------------------------------
 COMP_WEIGHTS_V1 = {"SEA": 0.22, "CEX": 0.17, "VCU": 0.12, "STO": 0.12, "CSI": 0.11,
@@ -22,59 +22,48 @@ YOS_THRESHOLD_YEARS, YOS_UPLIFT = 10.0, 0.05
 # ------------------------------------------------------------------------------------------------
 
 
-def _wframe(spark: SparkSession, weights: dict, key: str) -> DataFrame:
-    return spark.createDataFrame([(k, float(v)) for k, v in weights.items()], f"{key} string, weight double")
-
-
 def comp_component_v1(comp_latest: DataFrame, weights: dict = COMP_WEIGHTS_V1) -> DataFrame:
     """employee_id, comp_score = sum_c w_c * z_c; z per pillar over the employees having it
-    (ddof 0, a constant pillar -> 0); codes without a weight add 0; NULLs skipped."""
-    spark = comp_latest.sparkSession
+    (ddof 0, a constant pillar -> 0); codes without a weight add 0; NULLs skipped.
+
+    The statistics of the pillars (one entry per code) go to the rows as one map value, so no row is
+    shuffled by its pillar code.
+    """
     v = F.col("score").cast("double")
-    st = comp_latest.groupBy("pillar_code").agg(F.avg(v).alias("_m"), F.stddev_pop(v).alias("_sd"))
-    # one row per pillar code; AQE broadcasts it after measuring its size
-    j = comp_latest.join(st, "pillar_code").join(F.broadcast(_wframe(spark, weights, "pillar_code")),
-                                                                "pillar_code", "left")
-    z = z_expr("score", F.col("_m"), F.col("_sd"))
-    return j.groupBy("employee_id").agg(
-        F.coalesce(F.sum(F.coalesce(F.col("weight"), F.lit(0.0)) * z), F.lit(0.0)).alias("comp_score"))
+    stats = comp_latest.where(F.col("pillar_code").isin(*weights)).groupBy("pillar_code").agg(
+        F.avg(v).alias("m"), F.stddev_pop(v).alias("sd"))
+    by_code = stats.agg(F.map_from_entries(F.collect_list(F.struct("pillar_code", F.struct("m", "sd")))).alias("_stats"))
+    w = F.create_map(*[F.lit(x) for c, x in weights.items() for x in (c, float(x))]) if weights else F.lit(None)
+    j = with_scalars(comp_latest, by_code)
+    own = F.element_at("_stats", F.col("pillar_code"))
+    z = z_expr("score", own["m"], own["sd"])
+    weighted = F.coalesce(F.element_at(w, F.col("pillar_code")), F.lit(0.0)) * z
+    return j.groupBy("employee_id").agg(F.coalesce(F.sum(weighted), F.lit(0.0)).alias("comp_score"))
 
 
 def strengths_component_v1(strengths: DataFrame, weights: dict = THEME_WEIGHTS_V1) -> DataFrame:
-    """employee_id (employees with any strengths row), str_score = sum_t w_t * z(presence_t).
+    """employee_id (employees with any strengths row), str_score = sum_t w_t * z(holds theme t).
 
-    With p_t the share of employees holding theme t, z = (1-p)/sd for holders and -p/sd for the
-    rest (sd = sqrt(p(1-p)), 0 -> z 0). So score = base + sum over held weighted themes of w_t/sd_t,
-    base = sum_t w_t * (-p_t/sd_t) over weighted themes present in the data. No pivot needed.
+    One aggregate gives a 0/1 flag per weighted theme; z is over all these employees (ddof 0), and 0
+    for a theme that all or none hold.
     """
-    spark = strengths.sparkSession
-    pairs = strengths.select("employee_id", "theme").where(F.col("employee_id").isNotNull()).distinct()
-    emp = pairs.select("employee_id").distinct()
-    wf = _wframe(spark, weights, "theme")
-    held = pairs.join(F.broadcast(wf), "theme")  # only weighted themes
-    tstat = held.groupBy("theme", "weight").agg(F.count(F.lit(1)).alias("_k"))  # <= #weighted themes rows
-    n_emp = emp.agg(F.count(F.lit(1)).alias("_E"))  # one row
-    tstat = with_scalars(tstat, n_emp)
-    p = safe_div(F.col("_k"), F.col("_E"))
-    sd = F.sqrt(p * (F.lit(1.0) - p))
-    tstat = tstat.select("theme", "weight",
-                         F.when(sd == 0, F.lit(0.0)).otherwise(safe_div(F.col("weight") * (-p), sd)).alias("_base_t"),
-                         F.when(sd == 0, F.lit(0.0)).otherwise(safe_div(F.col("weight"), sd)).alias("_step"))
-    base = tstat.agg(F.coalesce(F.sum("_base_t"), F.lit(0.0)).alias("_base"))  # one row
-    steps = pairs.join(F.broadcast(tstat.select("theme", "_step")), "theme") \
-                 .groupBy("employee_id").agg(F.sum("_step").alias("_s"))
-    out = with_scalars(emp.join(steps, "employee_id", "left"), base)
-    return out.select("employee_id", (F.col("_base") + F.coalesce(F.col("_s"), F.lit(0.0))).alias("str_score"))
+    flags = {f"_t{i}": t for i, t in enumerate(weights)}
+    held = strengths.where(F.col("employee_id").isNotNull()).groupBy("employee_id").agg(
+        F.lit(0.0).alias("_none"), *[F.max(F.when(F.col("theme") == t, 1.0).otherwise(0.0)).alias(c) for c, t in flags.items()])
+    z = scale_columns(held, [("z", c, f"z{c}") for c in flags])
+    score = reduce(lambda a, b: a + b, [F.lit(float(weights[t])) * F.col(f"z{c}") for c, t in flags.items()], F.col("_none"))
+    return z.select("employee_id", score.alias("str_score"))
 
 
 def psy_component_v1(psych: DataFrame, papi_wide: DataFrame, weights: dict = PSY_WEIGHTS_V1) -> DataFrame:
-    """Full outer join of pauli and Papi_P/S/G, fill 0 before z (ddof 0), weighted sum."""
-    cols = ["pauli", "Papi_P", "Papi_S", "Papi_G"]
-    j = psych.select("employee_id", "pauli").join(
-        papi_wide.select("employee_id", "Papi_P", "Papi_S", "Papi_G"), "employee_id", "full")
-    j = j.select("employee_id", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
+    """Employees of either table; every weighted measure (absent or missing: 0) z-scored (ddof 0), weighted sum."""
+    cols = list(weights)
+    own = ensure_columns(psych, {c: (0.0, "double") for c in cols if c not in papi_wide.columns})
+    sides = [t.select("employee_id", *[F.col(c).cast("double") if c in t.columns else F.lit(None).cast("double").alias(c)
+                                       for c in cols]) for t in (own, papi_wide)]
+    j = parts_full_outer(sides)
     z = scale_columns(j, [("z", c, f"z_{c}") for c in cols])
-    expr = reduce(lambda a, b: a + b, [F.lit(float(weights.get(c, 0.0))) * F.col(f"z_{c}") for c in cols])
+    expr = reduce(lambda a, b: a + b, [F.lit(float(weights[c])) * F.col(f"z_{c}") for c in cols])
     return z.select("employee_id", expr.alias("psy_score"))
 
 
@@ -89,17 +78,22 @@ def context_uplift(emp_org: DataFrame, threshold_years: float = YOS_THRESHOLD_YE
 
 
 def parts_full_outer(parts: list[DataFrame], fill: float = 0.0) -> DataFrame:
-    """Chain of full outer joins on employee_id, then missing -> ``fill``."""
-    j = reduce(lambda a, b: a.join(b, "employee_id", "full"), parts)
-    vals = [c for c in j.columns if c != "employee_id"]
-    return j.select("employee_id", *[F.coalesce(F.col(c), F.lit(fill)).alias(c) for c in vals])
+    """Parts with one row per employee, aligned on employee_id over the employees of any part; missing -> ``fill``.
+
+    A union and one aggregate: a single exchange however many parts there are.
+    """
+    vals = list(dict.fromkeys(c for p in parts for c in p.columns if c != "employee_id"))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return rows.groupBy("employee_id").agg(*[F.coalesce(F.max(c), F.lit(fill)).alias(c) for c in vals])
 
 
 def success_score_v1(comp_latest: DataFrame, strengths: DataFrame, psych: DataFrame, papi_wide: DataFrame,
-                     emp_org: DataFrame, w_main: dict = MAIN_WEIGHTS_V1, minmax: bool = True) -> DataFrame:
+                     emp_org: DataFrame, w_main: dict = MAIN_WEIGHTS_V1, minmax: bool = True,
+                     w_comp: dict = COMP_WEIGHTS_V1, w_psy: dict = PSY_WEIGHTS_V1,
+                     w_themes: dict = THEME_WEIGHTS_V1) -> DataFrame:
     """employee_id, success_score (min-max when asked), comp_score, str_score, psy_score, ctx_adj."""
-    parts = parts_full_outer([comp_component_v1(comp_latest), psy_component_v1(psych, papi_wide),
-                              strengths_component_v1(strengths), context_uplift(emp_org)])
+    parts = parts_full_outer([comp_component_v1(comp_latest, w_comp), psy_component_v1(psych, papi_wide, w_psy),
+                              strengths_component_v1(strengths, w_themes), context_uplift(emp_org)])
     score = (F.lit(w_main["competency"]) * F.col("comp_score") + F.lit(w_main["strengths"]) * F.col("str_score")
              + F.lit(w_main["psychometric"]) * F.col("psy_score") + F.lit(w_main["context"]) * F.col("ctx_adj"))
     s = parts.withColumn("success_score", score)

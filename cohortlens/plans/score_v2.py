@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.functions.columns import clip
-from cohortlens.operators.scale import attach_scalars, minmax_expr, scale_columns
+from cohortlens.operators.scale import attach_scalars, broadcast_if_small, minmax_expr, scale_columns
 from cohortlens.session import cut_lineage
+from cohortlens.sources.schemas import ensure_columns
 
 # --- fixed values (v2 rule) ---------------------------------------------------------------------
 COMP_WEIGHTS_V2 = {"SEA": 0.30, "CEX": 0.20, "VCU": 0.15, "STO": 0.10, "CSI": 0.10,
@@ -32,8 +33,8 @@ def weights_frame(spark: SparkSession, weights: dict, key: str = "pillar_code")
 def weighted_sum_long(long: DataFrame, weights: DataFrame, key: str, code: str, value,
                       out: str = "wsum") -> DataFrame:
     """Per key: sum of weight * value over codes; unknown codes and NULL values add 0.
-    The weights frame is a handful of rows, broadcast explicitly."""
-    j = long.join(F.broadcast(weights), code, "left")
+    The weights are broadcast if a count finds them few."""
+    j = long.join(broadcast_if_small(weights), code, "left")
     return j.groupBy(key).agg(F.coalesce(F.sum(F.col("weight") * value), F.lit(0)).alias(out))
 
 
@@ -64,6 +65,8 @@ def psy_component_v2(psych: DataFrame, papi_wide: DataFrame) -> DataFrame:
 
     Each input is z-scored (ddof 0) over its own table's population and clipped to +-2.
     """
+    psych = ensure_columns(psych, {"pauli": (None, "double"), "faxtor": (None, "double")})
+    papi_wide = ensure_columns(papi_wide, {"Papi_P": (None, "double"), "Papi_W": (None, "double")})
     pz = scale_columns(psych.select("employee_id", "pauli", "faxtor"),
                        [("zclip", "pauli", "z_pauli"), ("zclip", "faxtor", "z_faxtor")])
     qz = scale_columns(papi_wide.select("employee_id", "Papi_P", "Papi_W"),
