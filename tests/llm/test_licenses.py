@@ -34,7 +34,7 @@ def test_tree(spark):
     files = [
         ("LICENSE", "Released under the MIT License."), ("a/x.py", "print(1)"),
         ("a/b/COPYING", "This work is licensed under the GNU General Public License, version 3."),
-        ("a/b/y.py", "import os"), ("a/b/c/z.py", "# Licensed under the Apache License, Version 2.0.\nimport os"),
+        ("a/b/y.py", "import os"), ("a/b/c/z.py", "# Licensed under the Apache License, Version 2.0.\n" + "import os, sys\n" * 40),
         ("a/b/c/d/w.py", None), ("q", ""), (None, "All rights reserved."), (None, None),
         ("a/b/zz", "This work is licensed under the GNU General Public License, version 2."), ("a/x.py", "print(1)"),
         ("v/long.txt", "word " * 50_000 + "\nLicensed under CC BY-NC 4.0.\n" + "word " * 1000),
@@ -56,8 +56,8 @@ def test_tree(spark):
     for _, t in files:
         for w in set(L.terms(t or "")):
             counts[w] = counts.get(w, 0) + 1
-    for name, line in (("own_score", "# Licensed under the Apache License, Version 2.0."),):
-        assert abs(got["a/b/c/z.py"][name] - plain(line, L.TEMPLATES[1][1], counts, n)) < 1e-8
+    line = "# Licensed under the Apache License, Version 2.0."
+    assert abs(got["a/b/c/z.py"].own_score - plain(line, L.TEMPLATES[1][1], counts, n)) < 1e-8
 
 
 def test_empty_and_native(spark, edge_docs):
