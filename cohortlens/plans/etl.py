@@ -111,9 +111,24 @@ def build_core(spark: SparkSession, staging_dir: str, core_dir: str, tables: Ite
 
 
 def quality_report(core: dict[str, DataFrame]) -> DataFrame:
-    """(check, subject, n): row counts per table, duplicate primary keys, NULL foreign keys on employees,
-    and foreign keys without a matching dimension row (true orphans)."""
+    """(check, subject, n): row counts per table, duplicate primary keys, NULL foreign keys on employees, foreign keys
+    without a matching dimension row (true orphans), and the column rules of the dimensions: names missing or given
+    to two ids, pillar codes longer than three characters."""
     rows = []
+
+    def count_of(df: DataFrame, check: str, subject: str) -> None:
+        rows.append(df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(check).alias("check"),
+                                                                F.lit(subject).alias("subject"), "n"))
+    for t, df in core.items():
+        if t.startswith("dim_") and "name" in df.columns:
+            count_of(df.where(F.col("name").isNull()), "null_name", t)
+            count_of(quality.quality_unique_value(df, "name"), "name_of_two_ids", t)
+    for t in ("dim_competency_pillars", "competencies_yearly"):
+        if t in core:
+            count_of(core[t].where(F.length("pillar_code") > 3), "long_code", t)
+    if "competencies_yearly" in core and "dim_competency_pillars" in core:
+        count_of(quality.quality_orphans(core["competencies_yearly"], core["dim_competency_pillars"], "pillar_code"),
+                 "orphan_fk", "pillar_code")
     for t, df in core.items():
         rows.append(df.agg(F.count(F.lit(1)).alias("n")).select(F.lit("row_count").alias("check"),
                                                                  F.lit(t).alias("subject"), "n"))

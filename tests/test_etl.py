@@ -49,6 +49,8 @@ def test_build_core_and_upsert(spark, tmp_path):
     assert rep[("null_fk", "company_id")] == 2
     assert rep[("orphan_employee", "performance_yearly")] == 1  # e3 is not an employee
     assert rep[("duplicate_key", "performance_yearly")] == 0
+    assert rep[("orphan_fk", "pillar_code")] == 0 and rep[("long_code", "competencies_yearly")] == 0
+    assert rep[("null_name", "dim_grades")] == 0 and rep[("name_of_two_ids", "dim_grades")] == 0
 
 
 def test_reports_on_core_tables(spark, tmp_path):
