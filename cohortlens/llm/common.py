@@ -19,6 +19,7 @@ from cohortlens.sources.tables import read_table
 
 WORD = r"[^\x20\x09-\x0D]+"  # a word: a run of anything but the six ASCII white-space characters
 CHUNK_BYTES = 2_000_000      # texts are hashed in runs of documents of about this many bytes
+SEGMENT_BYTES = 8_000_000    # a longer run, which is one long document, is hashed in segments of this many
 
 _WS = np.zeros(256, dtype=bool)
 _WS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -128,10 +129,24 @@ def word_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each of some spans that are in order and do not overlap; a long buffer is hashed in segments."""
+    if len(buf) <= SEGMENT_BYTES:
+        return span_hash(prefix_hash(buf), starts, ends)
+    out = np.empty(len(starts), dtype=np.uint64)
+    i = 0
+    while i < len(starts):
+        a = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(starts, a + SEGMENT_BYTES, "left")))
+        out[i:j] = span_hash(prefix_hash(buf[a:int(ends[j - 1])]), starts[i:j] - a, ends[i:j] - a)
+        i = j
+    return out
+
+
 def word_hashes(buf: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     """(hash, document index) of every word, with A-Z lower-cased if asked."""
     starts, ends, doc = word_spans(buf, offsets)
-    return span_hash(prefix_hash(_LOWER[buf] if lower else buf), starts, ends), doc
+    return hash_spans(_LOWER[buf] if lower else buf, starts, ends), doc
 
 
 def as_long(x: np.ndarray) -> np.ndarray:

@@ -36,13 +36,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
-from cohortlens.llm.common import (WORD, arrow_buffer, chunks, documents, prefix_hash, small_batches, span_hash,
-                                   text_bytes, written)
+from cohortlens.llm.common import (SEGMENT_BYTES, WORD, arrow_buffer, chunks, documents, prefix_hash, small_batches,
+                                   span_hash, text_bytes, written)
 
 WINDOW = 100        # bytes
 GRAM = 32           # bytes of an anchor
-FLUSH = 1_000_000   # entries a map task holds before it sends them
-FLUSH_BYTES = 32_000_000
+FLUSH = 500_000     # entries a map task holds before it sends them
+FLUSH_BYTES = 16_000_000
 SPREAD = 20_000     # contexts of an anchor from which its windows are dealt out one by one
 AT_ONCE = 1_000_000 # windows in one run of the passes
 
@@ -147,6 +147,20 @@ def anchors(buf: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> tup
     return hashes[a], context, doc, lo - offsets[doc], a - lo, hi - lo
 
 
+def segments(buf: np.ndarray, offsets: np.ndarray, window: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(bytes, offsets, bytes before them) of a run of documents; one long document comes in overlapping segments.
+
+    A window lies in exactly one segment, and its anchor depends on its own bytes alone. A run of windows that a
+    segment's edge parts makes two entries, which are compared like any others.
+    """
+    if len(offsets) > 2 or len(buf) <= SEGMENT_BYTES:
+        yield buf, offsets, 0
+        return
+    for a in range(0, len(buf), SEGMENT_BYTES):
+        own = buf[a:a + SEGMENT_BYTES + window - 1]
+        yield own, np.array([0, len(own)]), a
+
+
 def _firsts(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first entry of each anchor and context, entries to remove); an entry given twice counts once."""
     e = e[np.lexsort((e["p"], e["t"], e["d"], e["c"], e["g"]))]
@@ -183,16 +197,16 @@ def _entries(keyed: DataFrame, window: int, gram: int, parts: int) -> DataFrame:
                 d, t = batch.column(0).to_numpy(), batch.column(1).to_numpy()
                 buf, offsets = arrow_buffer(batch.column(2))
                 for i, j in chunks(offsets):
-                    g, c, doc, p, place, more = anchors(buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i],
-                                                        window, gram)
-                    e = np.empty(len(g), dtype=ENTRY)
-                    e["g"], e["c"], e["d"], e["t"] = g, c, d[i:j][doc], t[i:j][doc]
-                    e["p"], e["l"], e["s"] = p, place, more
-                    held.append(e)
-                    n += len(e)
-                    if n >= FLUSH:
-                        yield from flush(held)
-                        held, n = [], 0
+                    for part, own, skip in segments(buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], window):
+                        g, c, doc, p, place, more = anchors(part, own, window, gram)
+                        e = np.empty(len(g), dtype=ENTRY)
+                        e["g"], e["c"], e["d"], e["t"] = g, c, d[i:j][doc], t[i:j][doc]
+                        e["p"], e["l"], e["s"] = p + skip, place, more
+                        held.append(e)
+                        n += len(e)
+                        if n >= FLUSH:
+                            yield from flush(held)
+                            held, n = [], 0
             if n:
                 yield from flush(held)
     return keyed.select("d", "t", "b").mapInArrow(run, BLOBS)

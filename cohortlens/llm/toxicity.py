@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cohortlens.llm.common import (_LOWER, arrow_buffer, chunks, documents, prefix_hash, small_batches, span_hash,
-                                   text_bytes, word_spans)
+from cohortlens.llm.common import (_LOWER, arrow_buffer, chunks, documents, hash_spans, small_batches, text_bytes,
+                                   word_spans)
 from cohortlens.sources.tables import read_table
 
 ORDER = 4                  # bytes of a gram, at most 7
@@ -81,7 +81,7 @@ def _distinct_words(buf: np.ndarray, offsets: np.ndarray):
     starts, ends, doc = word_spans(buf, offsets)
     if not len(starts):
         return buf, starts, ends, starts, doc
-    _, at, which = np.unique(span_hash(prefix_hash(buf), starts, ends), return_index=True, return_inverse=True)
+    _, at, which = np.unique(hash_spans(buf, starts, ends), return_index=True, return_inverse=True)
     pairs = np.unique(doc * len(at) + which)  # in the order of documents
     return buf, starts[at], ends[at], pairs % len(at), pairs // len(at)
 
