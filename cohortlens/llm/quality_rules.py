@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import (arrow_buffer, chunks, documents, mix64, prefix_hash, small_batches, span_hash,
-                                   text_bytes, word_spans, written)
+from cohortlens.llm.common import (arrow_buffer, chunks, documents, hash_spans, mix64, small_batches, text_bytes,
+                                   word_spans, written)
 from cohortlens.sources.tables import read_table
 
 SAMPLE = 8192    # labelled rows the trees draw from
@@ -77,7 +77,6 @@ def counts(buf: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
                         ("n_bangs", _BANGS), ("n_bars", _BARS), ("n_stops", _STOPS)):
         out[name] = total(table[buf])
 
-    sums = prefix_hash(buf)
     # lines: between line feeds and document edges; only those with a word count
     feeds = np.flatnonzero(buf == 10)
     first = np.unique(np.concatenate([offsets[:-1], feeds + 1]))
@@ -87,12 +86,12 @@ def counts(buf: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     line_of_word = np.searchsorted(first, starts, "right") - 1
     used = np.unique(line_of_word)
     line_doc = np.searchsorted(offsets, first[used], "right") - 1
-    key = mix64(span_hash(sums, first[used], end[used]) + line_doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    key = mix64(hash_spans(buf, first[used], end[used]) + line_doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     out["n_lines"] = np.bincount(line_doc, minlength=n)
     _, at = np.unique(key, return_index=True)
     out["n_dup_lines"] = out["n_lines"] - np.bincount(line_doc[at], minlength=n)
 
-    word = span_hash(sums, starts, ends)
+    word = hash_spans(buf, starts, ends)
     own = mix64(word + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     _, at, = np.unique(own, return_index=True)
     out["n_distinct"] = np.bincount(doc[at], minlength=n)
@@ -247,7 +246,11 @@ def quality_rules(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> Dat
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()) \
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("quality"))
     labelled = written(stats.where(~base_failed()).join(known, "doc_id"), "quality-labelled")
-    sample = labelled.orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(SAMPLE).select("ratios").toPandas()
+    # of the least hashes, about four times as many as are wanted enter the sort: its tasks send rows in all, not each
+    place = F.xxhash64(F.lit(SEED), "doc_id")
+    share = min(1.0, 4 * SAMPLE / max(1, labelled.count()))
+    few = labelled.where(place <= int(-2**63 + (2**64 - 1) * share)) if share < 1 else labelled
+    sample = few.orderBy(place, "doc_id").limit(SAMPLE).select("ratios").toPandas()
     result = stats.withColumn("base_failed", base_failed())
     if len(sample) < 2:
         return result.select("doc_id", *COUNTS, "base_failed", (~F.col("base_failed")).alias("kept"),
