@@ -18,7 +18,7 @@ from cohortlens.session import ensure_checkpoint_dir
 from cohortlens.sources.tables import read_table
 
 WORD = r"[^\x20\x09-\x0D]+"  # a word: a run of anything but the six ASCII white-space characters
-CHUNK_BYTES = 2_000_000      # texts are hashed in runs of documents of about this many bytes
+CHUNK_BYTES = 1_000_000      # texts are hashed in runs of documents of about this many bytes
 SEGMENT_BYTES = 8_000_000    # a longer run, which is one long document, is hashed in segments of this many
 
 _WS = np.zeros(256, dtype=bool)
@@ -73,7 +73,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def _powers(kind: str, n: int) -> np.ndarray:
     have = _POW[kind]
     if len(have) < n:
-        steps = np.full(max(n, CHUNK_BYTES * 2), _BASE if kind == "up" else _INV, dtype=np.uint64)
+        steps = np.full(max(n, CHUNK_BYTES + 65_536), _BASE if kind == "up" else _INV, dtype=np.uint64)
         steps[0] = 1
         have = _POW[kind] = np.cumprod(steps, dtype=np.uint64)
     return have[:n]
