@@ -25,6 +25,13 @@ def test_ids_are_those_of_the_tokenizer(spark, reference):
         assert encoder.encode(t).tolist() + [tokens.END_ID] == reference(t)
 
 
+@pytest.mark.parametrize("text", [" " * 1_000_000, "ab" + " " * 1_200_000 + "cd " + "\n" * 120_000 + "é",
+                                  "x" + "\u3000" * 400_000 + "\x85" * 700_000, ("a" + " \x1c" * 60_000) * 2])
+def test_ids_of_very_long_white_space(reference, text):
+    encoder = tokens.Encoder(tokens.vocabulary_path())
+    assert encoder.encode(text).tolist() + [tokens.END_ID] == reference(text)
+
+
 def test_differencing_is_near_equal_and_complete():
     sizes = np.random.default_rng(1).integers(1, 512, 300).tolist()
     loads, dealt = packing.difference(sizes, 40)
