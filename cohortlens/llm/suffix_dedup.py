@@ -17,6 +17,7 @@ anchor, hash of the bytes its windows cover (the context), document, first windo
 Hot passages: a map task sends one entry per anchor and context whatever their number, removing the
 others itself. An anchor with more than ``SPREAD`` contexts is dealt out by whole windows, after a
 first round of passes in each task, so that it is no single group. Context hashes have 64 bits.
+Documents without an id are told apart by 63 bits of a hash of their text.
 
 Order of documents: smaller doc_id first, a null id last, then by a hash of the text. Rows equal in
 both are one document given more than once: each gets the same result and none repeats another.
@@ -46,8 +47,8 @@ FLUSH_BYTES = 16_000_000
 SPREAD = 20_000     # contexts of an anchor from which its windows are dealt out one by one
 AT_ONCE = 1_000_000 # windows in one run of the passes
 
-ENTRY = np.dtype([("g", "<u8"), ("c", "<u8"), ("d", "<i8"), ("t", "<i4"), ("p", "<i4"), ("l", "u1"), ("s", "u1")])
-# g anchor, c context, d and t document, p first window, l anchor's place after p, s further windows
+ENTRY = np.dtype([("g", "<u8"), ("c", "<u8"), ("d", "<i8"), ("t", "<i8"), ("p", "<i4"), ("l", "u1"), ("s", "u1")])
+# g anchor, c context, d and t document (t: 63 bits of a hash, negative for a null id), p first window, l anchor's place after p, s further windows
 BLOBS = "part int, kind int, entries binary, texts binary"
 ENTRIES, CUTS, MIXED, HOT = 0, 1, 2, 3
 LAST = (1 << 63) - 1
@@ -108,7 +109,7 @@ def _doc_part(e: np.ndarray, parts: int) -> np.ndarray:
 
 
 def document_part(d: np.ndarray, t: np.ndarray, parts: int) -> np.ndarray:
-    x = d.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + t.astype(np.int64).view(np.uint64)
+    x = d.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + t.view(np.uint64)
     x ^= x >> np.uint64(29)
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(32)
@@ -177,7 +178,9 @@ def _firsts(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _keyed(docs: DataFrame, carry: list[str]) -> DataFrame:
     """(d, t, b, row): the place of a document in the order, its bytes and its other columns."""
-    tag = F.xxhash64("b").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    h = F.xxhash64("b")
+    tag = F.shiftleft(h.bitwiseAND(F.lit(0x7FFFFFFF)), 32).bitwiseOR(
+        F.shiftrightunsigned(h, 31).bitwiseAND(F.lit(0xFFFFFFFF)))  # 63 bits, the lowest 31 first in the order
     row = F.struct(*carry) if carry else F.struct(F.lit(0).alias("none"))
     return docs.select(F.col("doc_id").cast("long").alias("i"), text_bytes().alias("b"), row.alias("row")).select(
         F.coalesce("i", F.lit(LAST)).alias("d"), F.when(F.col("i").isNull(), -1 - tag).otherwise(tag).alias("t"), "b",
@@ -293,7 +296,7 @@ def _documents_of(table: pa.Table) -> Iterator[tuple[int, int, bytes]]:
     for row in table.select(["d", "t", "sizes", "texts"]).to_pylist():
         body = plain.decompress(row["texts"])
         at = 0
-        for d, t, n in zip(np.frombuffer(row["d"], "<i8").tolist(), np.frombuffer(row["t"], "<i4").tolist(),
+        for d, t, n in zip(np.frombuffer(row["d"], "<i8").tolist(), np.frombuffer(row["t"], "<i8").tolist(),
                            np.frombuffer(row["sizes"], "<i8").tolist(), strict=True):
             yield d, t, body[at:at + n]
             at += n

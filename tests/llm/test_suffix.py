@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from tests.llm.conftest import documents, words
 
 from cohortlens.llm import suffix_dedup as S
@@ -98,3 +99,19 @@ def test_cut_repeats_keeps_columns(spark, edge_docs):
     assert 1 not in got and 7 not in got      # whole copies: nothing is left
     assert got[4].text == "" and got[5].text == ""
     assert all(r.n_chars == len(r.text) for r in got.values())
+
+
+def test_texts_without_id_whose_hashes_share_31_bits(spark):
+    """Two documents of null id that agree in the lowest 31 bits of their hash are still two."""
+    passage = words(random.Random(11), 60)
+    texts = spark.range(300_000).selectExpr(
+        f"concat(substr(sha2(string(id), 512), 1, 20 + int(id % 90)), '{passage}', sha2(string(-id), 256)) as text")
+    low = "xxhash64(cast(text as binary)) & 2147483647"
+    pairs = [r.same for r in texts.selectExpr("text", f"{low} as low").groupBy("low").agg(
+        F.collect_set("text").alias("same")).where("size(same) = 2").collect()]
+    edge = len(passage)
+    own = [(x, y) for x, y in pairs  # that share no window beside the passage, so that their order does not matter
+           if x[x.index(passage) - 1] != y[y.index(passage) - 1]
+           and x[x.index(passage) + edge] != y[y.index(passage) + edge] and x.index(passage) != y.index(passage)]
+    assert own
+    check(spark, spark.createDataFrame([(1, passage), *((None, t) for t in own[0])], "doc_id long, text string"))
