@@ -10,9 +10,10 @@ words (three at least, if it has them) that speaks loudest for toxic. A logistic
 labelled documents that gave no counts, turns it into the score.
 
 Counting covers every labelled training document, and what it shuffles grows with them; a map task
-sums its own grams first. The model that is sent out has at most ``MODEL_GRAMS`` grams (16 bytes
-each), those of largest count; grams beyond it are handled as unseen, by backoff. Labels are joined
-by broadcast only if a count finds them below ``LABELS_SENT`` rows, else by a shuffle.
+sums its own grams first. No gram is left out: a model of at most ``MODEL_GRAMS`` grams (16 bytes
+each) is sent to the tasks; a larger one stays a table, whose probabilities are aggregates and joins
+and which the distinct words are joined with. Labels are joined by broadcast only if a count finds
+them below ``LABELS_SENT`` rows, else by a shuffle.
 
 Folds are crc32(doc_id as text) mod 5: 0 is held out, 4 fits the curve, the others give counts.
 
@@ -28,19 +29,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cohortlens.llm.common import (_LOWER, arrow_buffer, chunks, documents, hash_spans, small_batches, text_bytes,
-                                   word_spans)
+from cohortlens.llm.common import (_LOWER, arrow_buffer, as_long, chunks, documents, hash_spans, small_batches,
+                                   text_bytes, word_spans, written)
 from cohortlens.sources.tables import read_table
 
 ORDER = 4                  # bytes of a gram, at most 7
 DISCOUNT = 0.75
 LOUDEST = 50               # the statistic is the mean over one in so many distinct words,
 LEAST = 3                  # and over so many at least
-MODEL_GRAMS = 1 << 20
+MODEL_GRAMS = 1 << 20      # grams of a model that is sent out; a larger one is joined
 LABELS_SENT = 2_000_000
 FLUSH = 500_000            # distinct grams a map task holds before it sends them
 BINS = 20                  # steps of the statistic per unit, when the curve is fitted
@@ -86,6 +87,14 @@ def _distinct_words(buf: np.ndarray, offsets: np.ndarray):
     return buf, starts[at], ends[at], pairs % len(at), pairs // len(at)
 
 
+def _span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each span, in any order."""
+    order = np.argsort(starts)
+    out = np.empty(len(starts), dtype=np.uint64)
+    out[order] = hash_spans(buf, starts[order], ends[order])
+    return out
+
+
 def count_grams(labelled: DataFrame) -> DataFrame:
     """(gram, ordinary, toxic): counts over all rows of ``labelled`` (b: bytes, toxic: 0 or 1)."""
     def send(grams: list, counts: list) -> pa.RecordBatch:
@@ -200,8 +209,116 @@ class Model:
         return np.bincount(doc[use], weights=value[order][use], minlength=n) / loud
 
 
-def statistics(rows: DataFrame, model: Model) -> DataFrame:
+class GramTable:
+    """The evidence of :class:`Model` as tables, for any number of grams: seen (gram, value), unseen (history, value)."""
+
+    def __init__(self, grams: DataFrame):
+        def shorter(gram: str, order: int) -> Column:
+            low = F.col(gram).bitwiseAND(F.lit((1 << (8 * (order - 1))) - 1))
+            return F.when(F.shiftright(gram, 8 * (order - 1)) != 0, low).otherwise(F.col(gram))
+
+        level, levels = grams.select("gram", (F.col("ordinary") + F.col("toxic")).cast("double").alias("weight")), []
+        for order in range(ORDER, 1, -1):
+            short = shorter("gram", order)
+            level = level.select(short.alias("gram"), F.when(short != F.col("gram"), 1.0).otherwise(F.col("weight"))
+                                 .alias("weight")).groupBy("gram").agg(F.sum("weight").alias("weight"))
+            level = written(level, "toxic-level")
+            levels.append((order - 1, level))
+        known = None
+        for order, level in reversed(levels):
+            level = level.withColumn("h", F.shiftright("gram", 8))
+            level = level.join(level.groupBy("h").agg(F.sum("weight").alias("total"), F.count("h").alias("kinds")), "h")
+            if known is None:
+                level = level.withColumn("lower", F.lit(1 / 256))
+            else:
+                level = level.withColumn("short", shorter("gram", order)).join(known, "short")
+            p = F.greatest(F.col("weight") - DISCOUNT, F.lit(0.0)) / F.col("total") \
+                + DISCOUNT * F.col("kinds") / F.col("total") * F.col("lower")
+            known = level.select(F.col("gram").alias("short"), p.alias("lower"))
+
+        history, classes = F.shiftright("gram", 8).alias("history"), ("ordinary", "toxic")
+        rests = grams.groupBy(history).agg(*(x for c in classes for x in (
+            F.sum(c).alias(f"{c}_total"), F.sum((F.col(c) > 0).cast("long")).alias(f"{c}_kinds"))))
+        rests = written(rests.select("history", *(x for c in classes for x in (F.col(f"{c}_total"), F.when(
+            F.col(f"{c}_total") > 0, DISCOUNT * F.col(f"{c}_kinds") / F.col(f"{c}_total")).otherwise(1.0)
+            .alias(f"{c}_rest")))), "toxic-rests")
+        self.unseen = rests.select("history", (F.log("toxic_rest") - F.log("ordinary_rest")).alias("value"))
+
+        def log(c: str) -> Column:
+            own = F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.greatest(F.col(f"{c}_total"), F.lit(1))
+            return F.log(own + F.col(f"{c}_rest") * F.col("lower"))
+
+        seen = grams.withColumns({"history": F.shiftright("gram", 8), "short": shorter("gram", ORDER)}) \
+            .join(rests, "history").join(known, "short")
+        self.seen = written(seen.select("gram", (log("toxic") - log("ordinary")).alias("value")), "toxic-seen")
+
+    def words(self, words: DataFrame) -> DataFrame:
+        """(word, value): evidence of the words of ``words`` (word, gram, times)."""
+        seen = self.seen.withColumnRenamed("value", "seen")
+        unseen = self.unseen.withColumnRenamed("value", "unseen")
+        found = words.join(seen, "gram", "left").withColumn("history", F.shiftright("gram", 8)) \
+            .join(unseen, "history", "left")
+        return found.groupBy("word").agg(F.sum(F.coalesce("seen", "unseen", F.lit(0.0)) * F.col("times")).alias("value"))
+
+    def statistics(self, rows: DataFrame) -> DataFrame:
+        """(row, statistic) as by :func:`statistics`. Equal texts, told by two 64-bit hashes, are scored once."""
+        keyed = rows.select("row", F.xxhash64("b").alias("k"), F.xxhash64(F.lit(1), "b").alias("l"), "b")
+
+        def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            with np.errstate(over="ignore"):
+                for batch in batches:
+                    data, offsets = arrow_buffer(batch.column(0))
+                    for i, j in chunks(offsets):
+                        buf, s, e, _, _ = _distinct_words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                        if not len(s):
+                            continue
+                        gram, word = word_grams(buf, s, e)
+                        order = np.lexsort((gram, word))
+                        gram, word = gram[order], word[order]
+                        new = np.flatnonzero(np.append(True, (gram[1:] != gram[:-1]) | (word[1:] != word[:-1])))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(as_long(_span_hashes(buf, s, e))[word[new]]), pa.array(as_long(gram[new])),
+                             pa.array(np.diff(np.append(new, len(gram))))], names=["word", "gram", "times"])
+
+        def spoken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            with np.errstate(over="ignore"):
+                for batch in batches:
+                    k, m = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                    data, offsets = arrow_buffer(batch.column(2))
+                    for i, j in chunks(offsets):
+                        buf, s, e, which, doc = _distinct_words(data[offsets[i]:offsets[j]],
+                                                                offsets[i:j + 1] - offsets[i])
+                        if len(s):
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(k[i:j][doc]), pa.array(m[i:j][doc]),
+                                 pa.array(as_long(_span_hashes(buf, s, e))[which])], names=["k", "l", "word"])
+
+        words = keyed.select("b").mapInArrow(spelled, "word long, gram long, times long") \
+            .groupBy("word", "gram").agg(F.max("times").alias("times"))
+        values = written(self.words(words), "toxic-words")
+        pairs = keyed.select("k", "l", "b").mapInArrow(spoken, "k long, l long, word long").distinct()
+        text = Window.partitionBy("k", "l")
+        loud = F.greatest(F.lit(1), F.least("n", F.greatest(F.lit(LEAST), F.floor(F.col("n") / LOUDEST))))
+        found = pairs.join(values, "word").select("k", "l", "value", F.count("word").over(text).alias("n"),
+                                                  F.row_number().over(text.orderBy(F.desc("value"))).alias("place"))
+        found = found.where(F.col("place") <= loud).groupBy("k", "l").agg(F.avg("value").alias("statistic"))
+        return keyed.join(found, ["k", "l"], "left").select("row", F.coalesce("statistic", F.lit(0.0)).alias("statistic"))
+
+
+def model_of(grams: DataFrame) -> Model | GramTable:
+    """The model of all of ``grams`` (gram, ordinary, toxic); a count decides whether it is sent out."""
+    grams = written(grams, "toxic-grams")
+    size = grams.agg(F.count("gram").alias("n"), F.max("ordinary").alias("o"), F.max("toxic").alias("t")).first()
+    if size["n"] > MODEL_GRAMS and size["o"] and size["t"]:
+        return GramTable(grams)
+    table = grams.limit(MODEL_GRAMS).toPandas()  # all of them, unless a class has none and nothing is learned
+    return Model(table["gram"].to_numpy(np.int64).view(U8), table["ordinary"].to_numpy(), table["toxic"].to_numpy())
+
+
+def statistics(rows: DataFrame, model: Model | GramTable) -> DataFrame:
     """(row, statistic) of every row of ``rows`` (row: struct of anything, b: bytes)."""
+    if isinstance(model, GramTable):
+        return model.statistics(rows)
     sent = rows.sparkSession.sparkContext.broadcast(model)
     schema = StructType([rows.schema["row"], StructField("statistic", DoubleType())])
 
@@ -242,13 +359,11 @@ def with_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.join(known, "doc_id")
 
 
-def train(docs: DataFrame, labels: DataFrame) -> tuple[Model, float, float]:
+def train(docs: DataFrame, labels: DataFrame) -> tuple[Model | GramTable, float, float]:
     """(model, slope, intercept) from documents (doc_id, b) and labels (doc_id, toxic)."""
     small_batches(docs.sparkSession)
     own = with_labels(docs, labels.select("doc_id", "toxic"))
-    grams = count_grams(own.where(fold().isin(1, 2, 3)).select("b", "toxic"))
-    table = grams.orderBy((F.col("ordinary") + F.col("toxic")).desc(), "gram").limit(MODEL_GRAMS).toPandas()
-    model = Model(table["gram"].to_numpy(np.int64).view(U8), table["ordinary"].to_numpy(), table["toxic"].to_numpy())
+    model = model_of(count_grams(own.where(fold().isin(1, 2, 3)).select("b", "toxic")))
     at = F.round(F.col("statistic") * BINS)
     bins = statistics(own.where(fold() == 4).select(F.struct("toxic").alias("row"), "b"), model) \
         .groupBy(F.greatest(F.lit(-2000), F.least(F.lit(2000), at)).alias("at"), F.col("row.toxic").alias("toxic")) \

@@ -191,3 +191,18 @@ def test_labels_given_twice_and_null(spark):
     docs = spark.createDataFrame([(1, b"x"), (2, b"y"), (3, b"z")], "doc_id long, b binary")
     own = spark.createDataFrame([(1, 0), (1, 1), (2, None), (None, 1), (3, 0)], "doc_id long, toxic int")
     assert {(r.doc_id, r.toxic) for r in T.with_labels(docs, own).collect()} == {(1, 1), (3, 0)}
+
+
+def test_model_beyond_what_is_sent_out_keeps_all_grams(spark, edge_docs, monkeypatch):
+    """The same scores from the joined table of grams as from the model that is sent out."""
+    sf = "/root/testdata/sf0.001"
+    docs = documents(spark, sf).select("doc_id", "text").unionByName(edge_docs.select("doc_id", "text"))
+    want = T.toxicity(docs, labels(spark, sf)).collect()
+    monkeypatch.setattr(T, "MODEL_GRAMS", 100)
+    got = T.toxicity(docs, labels(spark, sf)).collect()
+    assert any(r.statistic for r in want)
+
+    def by(rows):
+        return sorted(rows, key=lambda r: (r.doc_id is None, r.doc_id or 0, round(r.statistic, 3)))
+    for a, b in zip(by(got), by(want), strict=True):
+        assert a.doc_id == b.doc_id and abs(a.statistic - b.statistic) < 1e-4 and abs(a.score - b.score) < 0.01
