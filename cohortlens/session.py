@@ -41,10 +41,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    path = tempfile.mkdtemp(prefix="cohortlens-ckpt-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cohortlens-ckpt-", dir="/tmp"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
