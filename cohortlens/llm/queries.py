@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortlens.llm import hash_tree, licenses, merkle
+from cohortlens.llm import hash_tree, licenses, merkle, spelling
 from cohortlens.llm.cross_polytope import op7_nearest
 from cohortlens.llm.jaccard_join import op2_jaccard_join
 from cohortlens.llm.language_id import op3_language_id
@@ -16,7 +16,7 @@ from cohortlens.llm.toxicity import op6_toxicity
 QUERIES = {f.__name__: f for f in (op1_packing, op2_jaccard_join, op3_language_id, op4_quality_rules,
                                     op5_mixing, op6_toxicity, op7_nearest,
                                     licenses.op8_license_scan, op9_token_output, op10_suffix_dedup,
-                                    merkle.op12_merkle_manifest, hash_tree.op13_sharding)}
+                                    spelling.op11_spelling, merkle.op12_merkle_manifest, hash_tree.op13_sharding)}
 
 
 def queries() -> dict:
@@ -24,5 +24,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_license_scan": licenses.oracle(), "op12_merkle_manifest": merkle.oracle(),
+    return {"op8_license_scan": licenses.oracle(), "op11_spelling": spelling.oracle(), "op12_merkle_manifest": merkle.oracle(),
             "op13_sharding": hash_tree.oracle()}
