@@ -286,8 +286,9 @@ def roots(forms: DataFrame, most: int) -> DataFrame:
 def variants(words: DataFrame) -> DataFrame:
     """Per word of ``words`` (word, n): form, root, n_near and form_n."""
     pairs = near_pairs(words)
-    both = pairs.select(F.col("a").alias("word"), F.col("b").alias("other"), F.col("n_b").alias("other_n")).unionByName(
-        pairs.select(F.col("b").alias("word"), F.col("a").alias("other"), F.col("n_a").alias("other_n")))
+    ways = F.array(F.struct(F.col("a").alias("word"), F.col("b").alias("other"), F.col("n_b").alias("other_n")),
+                   F.struct(F.col("b").alias("word"), F.col("a").alias("other"), F.col("n_a").alias("other_n")))
+    both = pairs.select(F.explode(ways).alias("x")).select("x.*")  # a union of the two would work out all pairs twice
     best = both.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"),
                                     F.min(F.struct((-F.col("other_n")).alias("minus"), "other")).alias("best"))
     strong = -F.col("best.minus") >= LIFT * F.col("n")
