@@ -13,7 +13,6 @@ from cohortlens.llm import packing, token_output, tokens
 def reference():
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokens.vocabulary_path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids + [tokens.END_ID]
 
 
@@ -21,10 +20,21 @@ def test_ids_are_those_of_the_tokenizer(spark, reference):
     encoder = tokens.Encoder(tokens.vocabulary_path())
     texts = [r["text"] for r in documents(spark, "/root/testdata/sf0.001").collect()]
     texts += ["", " ", "\n\n a  b\t c  d　e", "don't we'll I'M", "a" * 3000, "x1y2 3.14 -- ok?!", "日本語 é́"]
+    end = "<|endoftext|>"
+    texts += [end, end * 2, f"{end}a", f"a{end}", f"a {end} b", f"x\n\n{end}\n{end} y", "<|endoftext|", f"<{end}>",
+              " " * 150_000 + end + " " * 150_000 + "z"]
     for t in texts:
         assert encoder.encode(t).tolist() + [tokens.END_ID] == reference(t)
 
 
+def test_added_tokens_are_those_of_the_vocabulary():
+    import json
+    with open(tokens.vocabulary_path("byte_bpe_50k.json")) as f:
+        added = json.load(f)["added_tokens"]
+    assert {x["content"]: x["id"] for x in added} == tokens.ADDED
+    assert not any(x[k] for x in added for k in ("single_word", "lstrip", "rstrip", "normalized"))
+
+
 @pytest.mark.parametrize("text", [" " * 1_000_000, "ab" + " " * 1_200_000 + "cd " + "\n" * 120_000 + "é",
                                   "x" + "\u3000" * 400_000 + "\x85" * 700_000, ("a" + " \x1c" * 60_000) * 2])
 def test_ids_of_very_long_white_space(reference, text):
