@@ -6,7 +6,8 @@ leaves the fewest bytes wins. The margin to the second is the confidence; a narr
 rejection: the best language is still named, with ``rejected`` true.
 
 The dictionaries are the only thing learned, from a bounded sample: of each language the ``SAMPLE``
-training documents of least seeded hash give up to ``TAKE`` bytes each. They are fetched to the
+training documents of least seeded hash give up to ``TAKE`` bytes each, in ``PIECES`` pieces from seeded places
+spread over the whole text, so that what documents begin with is not all that is learned. They are fetched to the
 driver (``SAMPLE * TAKE`` bytes, 128 KB, for a language) and sent to the tasks. Every text is
 classified whole.
 
@@ -24,13 +25,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.llm.common import documents, small_batches
 
 SAMPLE = 128       # training documents of a language
 TAKE = 1024        # bytes of each
+PIECES = 4         # in so many pieces
 PIECE = 2048       # bytes compressed at once
 LEVEL = 9
 MARGIN = 0.01      # saving over the second-best, as a share of the text, below which a result is rejected
@@ -42,13 +44,22 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def spread(b: Column, h: Column, take: int, pieces: int = PIECES) -> Column:
+    """``take`` of the bytes ``b``: one piece from each of some equal parts, at a place in it that ``h`` decides."""
+    n, width = F.length(b), take // pieces
+    part = F.floor(n / pieces).cast("int")
+    cuts = [F.substr(b, F.lit(j) * part + 1 + F.pmod(F.xxhash64(h, F.lit(j)), part - width + 1).cast("int"), F.lit(width))
+            for j in range(pieces)]
+    return F.when(n <= take, b).otherwise(F.concat(*cuts))
+
+
 def learn(docs: DataFrame, sample: int = SAMPLE, take: int = TAKE, seed: int = SEED) -> dict[str, bytes]:
     """Dictionary text of each language, most frequent first, from training documents (doc_id, text, lang)."""
     rows = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull()
                       & F.col("text").rlike(r"\p{L}"))
     known = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    rows = rows.select("lang", F.substring(F.lower("text").cast("binary"), 1, take).alias("b"),
-                       F.xxhash64(F.lit(seed), "doc_id").alias("h"))
+    h = F.xxhash64(F.lit(seed), "doc_id")
+    rows = rows.select("lang", spread(F.lower("text").cast("binary"), h, take).alias("b"), h.alias("h"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "b"))
     out: dict[str, list[bytes]] = {}
     for r in rows.withColumn("i", place).where(F.col("i") <= sample).orderBy("lang", "i").collect():

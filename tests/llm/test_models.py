@@ -36,6 +36,46 @@ def test_language_accuracy_on_held_out_documents(spark):
     assert all(r.margin >= L.MARGIN for r in sure)
 
 
+def test_language_learns_from_all_of_a_text(spark):
+    """A beginning that all documents share teaches nothing; pieces come from each quarter."""
+    texts = ["common opening line " * 100 + "".join(chr(97 + (i * k) % 26) for k in range(6000)) for i in range(1, 30)]
+    rows = spark.createDataFrame([(i, t, t.encode()) for i, t in enumerate(texts)], "h long, t string, b binary")
+    for r in rows.select("b", L.spread(L.F.col("b"), L.F.col("h"), 1024).alias("x")).collect():
+        whole, x = bytes(r.b), bytes(r.x)
+        assert len(x) == 1024
+        part = len(whole) // 4
+        for j in range(4):
+            assert x[j * 256:(j + 1) * 256] in whole[j * part:(j + 1) * part]
+    short = rows.select(L.F.lit(b"abc").alias("b"), "h")
+    assert bytes(short.select(L.spread(L.F.col("b"), L.F.col("h"), 1024)).first()[0]) == b"abc"
+
+
+def plain_language(text, dictionaries):
+    """Sizes under every dictionary, one compressor call a piece, without the operator's classes."""
+    import zstandard
+    out = []
+    for own in dictionaries.values():
+        d = zstandard.ZstdCompressionDict(own, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        total = 0
+        for i in range(0, len(text), L.PIECE):
+            params = zstandard.ZstdCompressionParameters.from_level(L.LEVEL, write_content_size=0, write_checksum=0, write_dict_id=0)
+            total += len(zstandard.ZstdCompressor(compression_params=params, dict_data=d).compress(text[i:i + L.PIECE]))
+        out.append(total)
+    return out
+
+
+def test_language_verdict_is_the_smallest_size(spark):
+    docs = documents(spark, "/root/testdata/sf0.001").select("doc_id", "text", "lang")
+    learned = L.learn(docs)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    wrong = 0
+    for r in L.classify(docs, learned).collect():
+        sizes = plain_language(texts[r.doc_id].lower().encode(), learned)
+        best = list(learned)[sizes.index(min(sizes))]
+        wrong += r.lang_pred not in (best, "und")
+    assert wrong <= 0.02 * len(texts)  # a prepared dictionary may compress a few bytes otherwise, which decides near ties
+
+
 def test_language_never_reads_labels_of_held_out_documents(spark):
     docs = documents(spark, SF)
     changed = docs.withColumn("lang", L.F.when(L.held_out(), L.F.lit("xx")).otherwise(L.F.col("lang")))
