@@ -1,4 +1,4 @@
-"""Upsert by primary key on plain Parquet tables (``INSERT ... ON CONFLICT (pk) DO UPDATE``)."""
+"""Upsert by primary key as a frame (``INSERT ... ON CONFLICT (pk) DO UPDATE``); ``sources/versions.py`` writes one."""
 
 from __future__ import annotations
 
@@ -19,14 +19,3 @@ def upsert_by_key(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -
     keys = list(keys)
     kept = target.join(incoming.select(*keys), keys, "left_anti")  # an anti join needs no distinct keys
     return kept.unionByName(dedup_row_number(incoming, keys).select(*target.columns))
-
-
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Idempotent overwrite of a Parquet table (a full rebuild needs no DROP).
-
-    With ``partition_by``, only the partitions that ``df`` has rows of are replaced; the others stay as they are.
-    """
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    w.parquet(path)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -33,6 +34,80 @@ def quality_orphans(fact: DataFrame, dim: DataFrame, fk: str, dim_key: str | Non
     return fact.where(F.col(fk).isNotNull()).join(keys, F.col(fk) == F.col("_dk"), "left_anti")
 
 
+@dataclass(frozen=True)
+class TableRules:
+    """What is checked of a table: its key, columns that refer to another table's key, unique columns, lengths."""
+
+    keys: tuple[str, ...]
+    refers: Mapping[str, str] = field(default_factory=dict)   # column -> table whose (single) key it holds
+    unique: tuple[str, ...] = ()
+    lengths: Mapping[str, int] = field(default_factory=dict)  # column -> most characters
+
+
+def key_census(tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules]) -> DataFrame:
+    """(table_name, kind, subject, ref, id, null_part, n, n_long): how often each key, reference and unique value occurs.
+
+    One scan and one aggregate a table: its keys and references are unpivoted, and a value that a third of the rows
+    hold is one row after the partial aggregation. A key of several columns is written as JSON, a single one as text.
+    """
+    def entry(kind: str, subject: str, ref: str | None, columns: Sequence[str], most: int | None = None):
+        value = F.col(columns[0]).cast("string") if len(columns) == 1 else F.to_json(F.struct(*columns))
+        null_part = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+        long = F.lit(0) if most is None else F.when(F.length(columns[0]) > most, 1).otherwise(0)
+        return F.struct(F.lit(kind).alias("kind"), F.lit(subject).alias("subject"), F.lit(ref).cast("string").alias("ref"),
+                        value.alias("id"), null_part.alias("null_part"), long.cast("long").alias("long"))
+    parts = []
+    for name, r in rules.items():
+        if name not in tables:
+            continue
+        rows = [entry("key", ",".join(r.keys), None, r.keys), *(entry("ref", c, t, [c]) for c, t in r.refers.items()),
+                *(entry("unique", c, None, [c]) for c in r.unique),
+                *(entry("length", c, None, [c], most) for c, most in r.lengths.items())]
+        parts.append(tables[name].select(F.lit(name).alias("table_name"), F.explode(F.array(*rows)).alias("x"))
+                     .select("table_name", "x.*").groupBy("table_name", "kind", "subject", "ref", "id", "null_part")
+                     .agg(F.count(F.lit(1)).alias("n"), F.sum("long").alias("n_long")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def orphan_keys(census: DataFrame) -> DataFrame:
+    """(table_name, column_name, ref, id, n): values that the table they refer to lacks, and the rows that hold them.
+
+    All references of all tables meet all keys in one anti join on (table, id). Hand in a census whose lineage is cut:
+    of a lazy one the optimizer moves the join below the union and scans the tables again for each.
+    """
+    known = census.where("kind = 'key'").select(F.col("table_name").alias("ref"), "id")
+    return census.where("kind = 'ref' and not null_part").join(known, ["ref", "id"], "left_anti") \
+        .select("table_name", F.col("subject").alias("column_name"), "ref", "id", "n")
+
+
+def census_counts(census: DataFrame) -> DataFrame:
+    """(table_name, kind, subject, n_rows, n_null, n_repeated, n_long) of what a census holds.
+
+    ``n_null`` counts rows, ``n_repeated`` the values that occur more than once (for a key also those with a missing part).
+    """
+    repeated = (F.col("n") > 1) & ~F.col("null_part") | (F.col("kind") == "key") & F.col("null_part")
+    return census.groupBy("table_name", "kind", "subject").agg(
+        F.sum("n").alias("n_rows"), F.sum(F.when(F.col("null_part"), F.col("n")).otherwise(0)).alias("n_null"),
+        F.count_if(repeated).alias("n_repeated"), F.sum("n_long").alias("n_long"))
+
+
+def unsorted_neighbours(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Rows of a sorted frame that come before their predecessor: those inside a partition, and first rows of one.
+
+    Checks an ordering without moving the rows: each partition compares neighbours where they lie, and only the first and
+    last key of every partition meet. Empty exactly if the frame is in order. ``order``: columns in ascending order.
+    """
+    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
+    rows = df.select(key.alias("key"), F.monotonically_increasing_id().alias("at")) \
+        .withColumn("part", F.shiftright("at", 33))
+    inside = Window.partitionBy("part").orderBy("at")
+    wrong = rows.withColumn("before", F.lag("key").over(inside)).where("key < before").select("part", "key")
+    ends = rows.groupBy("part").agg(F.min_by("key", "at").alias("first"), F.max_by("key", "at").alias("last"))
+    one = Window.partitionBy(F.lit(0)).orderBy("part")  # one row per partition
+    return wrong.unionByName(ends.withColumn("before", F.lag("last").over(one)).where("first < before")
+                             .select("part", F.col("first").alias("key")))
+
+
 def quality_null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row: NULL count per column (``null_<col>``) plus ``n_rows``, in a single pass."""
     return df.agg(F.count(F.lit(1)).alias("n_rows"),

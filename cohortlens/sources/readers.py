@@ -9,9 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def scan_csv_text(spark: SparkSession, path: str, schema: StructType, mode: str = "FAILFAST") -> DataFrame:
-    """CSV with header, every column read as text by the declared (all-string) schema; no inference."""
-    return (spark.read.schema(schema).option("header", True).option("mode", mode)
+def scan_csv_text(spark: SparkSession, path: str, schema: StructType, mode: str = "FAILFAST",
+                  multi_line: bool = True) -> DataFrame:
+    """CSV with header, every column read as text by the declared (all-string) schema; no inference.
+
+    A quoted field may hold line breaks, quotes doubled and commas, as PostgreSQL's CSV has them. Such a file cannot be
+    split, so each file is one task; a large load comes as many files (``path`` may be a folder). Where no field has
+    line breaks, ``multi_line=False`` lets Spark split the files.
+    """
+    return (spark.read.schema(schema).option("header", True).option("mode", mode).option("multiLine", multi_line)
             .option("quote", '"').option("escape", '"').csv(path))
 
 
@@ -22,13 +28,13 @@ def sql_read(spark: SparkSession, query: str) -> DataFrame:
 
 def read_or_empty(spark: SparkSession, path: str | None, schema: StructType, fmt: str = "parquet",
                   table: str | None = None) -> DataFrame:
-    """Read a source if it exists, else an empty frame with the declared columns."""
+    """Read a source with the declared columns if it exists, else an empty frame of them."""
     if table is not None:
         if spark.catalog.tableExists(table):
             return spark.table(table)
         return spark.createDataFrame([], schema)
     try:
-        return spark.read.format(fmt).schema(schema).load(path) if fmt != "parquet" else spark.read.parquet(path)
+        return spark.read.format(fmt).schema(schema).load(path)
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
