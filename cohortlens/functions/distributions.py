@@ -70,3 +70,26 @@ def chi2_sf(x, k) -> Column:
         .when(x <= 0, F.lit(1.0)) \
         .when(k % 2 == 0, even).otherwise(odd)
     return F.least(F.greatest(res, F.lit(0.0)), F.lit(1.0))
+
+
+def mwu_exact_p(u: Column, n1: Column, n2: Column) -> Column:
+    """Two-sided p of Mann-Whitney's U without ties: twice the share of arrangements with U of at most the smaller.
+
+    The number of arrangements with U = k is that of partitions of k into at most m parts of at most j, grown from
+    j = 0 to the larger group: p(i, j, k) = p(i, j - 1, k) + p(i - 1, j, k - j). The fold keeps, for every i up to the
+    smaller group's size m, the counts for k up to U.
+    """
+    m, most = F.least(n1, n2).cast("int"), F.greatest(n1, n2).cast("int")
+    low = F.least(u, n1 * n2 - u).cast("int")
+    start = F.concat(F.array(F.lit(1.0)), F.array_repeat(F.lit(0.0), low))
+
+    def moved(a: Column, j: Column) -> Column:
+        return F.slice(F.concat(F.array_repeat(F.lit(0.0), j), a), F.lit(1), low + 1)
+
+    def grown(state: Column, j: Column) -> Column:
+        return F.aggregate(F.slice(state, F.lit(2), m), F.slice(state, 1, 1), lambda done, own: F.concat(done, F.array(
+            F.zip_with(own, moved(F.element_at(done, -1), j), lambda x, y: x + y))))
+    counts = F.aggregate(F.sequence(F.lit(1), most), F.array_repeat(start, m + 1), grown)
+    within = F.aggregate(F.element_at(counts, -1), F.lit(0.0), lambda s, x: s + x)
+    arrangements = F.aggregate(F.sequence(F.lit(1), m), F.lit(1.0), lambda c, i: c * (most + i) / i)
+    return F.least(F.lit(1.0), 2.0 * within / arrangements)

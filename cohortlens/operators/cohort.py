@@ -11,11 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.columns import safe_div
-from cohortlens.functions.distributions import chi2_sf, normal_two_sided_p
+from cohortlens.functions.distributions import chi2_sf, mwu_exact_p, normal_two_sided_p
 from cohortlens.operators.prefix import collapse_by_value, running_by_value
 from cohortlens.operators.scale import broadcast_if_small, with_scalars
 from cohortlens.session import cut_lineage
 
+EXACT_GROUP = 8        # the exact distribution of U is used if one group has at most so many values, all different,
+EXACT_CELLS = 2_000    # and the product of the group sizes is at most this
+
 
 def _hi(label: str):
     return F.col(label) == 1
@@ -45,8 +48,10 @@ def cohort_compare(long: DataFrame, metric: str = "metric", value: str = "value"
 
 def mann_whitney_u(long: DataFrame, metric: str = "metric", value: str = "value", label: str = "label",
                    buckets: int | None = None) -> DataFrame:
-    """Per metric: u_stat (U of the high cohort), p_mwu (two-sided, asymptotic with tie and continuity
-    correction), n_high, n_non. An empty cohort gives NULL.
+    """Per metric: u_stat (U of the high cohort), p_mwu (two-sided), n_high, n_non. An empty cohort gives NULL.
+
+    p is exact for a small group without ties (EXACT_GROUP, EXACT_CELLS), else asymptotic with tie and continuity
+    correction.
 
     Exact average ranks come from the value-collapsed table and a distributed running count.
     """
@@ -77,7 +82,9 @@ def _mwu_cols():
     mu = n1 * n0 / 2.0
     sigma = F.sqrt(n1 * n0 / 12.0 * ((N + 1) - safe_div(F.col("_ties"), N * (N - 1))))
     z = safe_div(u - mu - 0.5, sigma)
+    exact = (F.col("_ties") == 0) & (F.least(n1, n0) <= EXACT_GROUP) & (n1 * n0 <= EXACT_CELLS)
     p = F.when((n1 == 0) | (n0 == 0), F.lit(None).cast("double")) \
+         .when(exact, mwu_exact_p(u1, n1, n0)) \
          .when(sigma.isNull() | (sigma <= 0), F.lit(1.0)) \
          .otherwise(normal_two_sided_p(z))
     return [F.when((n1 == 0) | (n0 == 0), F.lit(None).cast("double")).otherwise(u1).alias("u_stat"),

@@ -102,6 +102,35 @@ def q_cohort_report(spark, sf_dir):
     return cohort.cohort_report(lineitem_long(spark, sf_dir))
 
 
+# customers of a nation and segment, by the parity of half their key: groups of some six balances, so U has its exact
+# distribution; the oracle lists every arrangement of a group's ranks and counts those with a U as small
+BALANCE_SQL = ("SELECT concat(c_nationkey, '/', c_mktsegment, '/', c_custkey % 2) AS metric, c_acctbal AS v, "
+               "CAST((c_custkey // 2) % 2 AS INTEGER) AS y FROM customer")
+EXACT_SQL = f"""
+WITH g AS (
+  SELECT metric, count(*) AS n, sum(y) AS n1, count(DISTINCT v) AS d FROM ({BALANCE_SQL}) b GROUP BY metric),
+small AS (
+  SELECT * FROM g WHERE d = n AND least(n1, n - n1) BETWEEN 1 AND 8 AND n <= 20),
+arrangement AS (
+  SELECT metric, n, n1, unnest(range(0, CAST(1 AS BIGINT) << CAST(n AS INTEGER))) AS mask FROM small),
+placed AS (
+  SELECT metric, list_sum(list_transform(range(0, n), lambda i: CASE WHEN (mask >> CAST(i AS INTEGER)) & 1 = 1 THEN i + 1 ELSE 0 END))
+         - n1 * (n1 + 1) / 2 AS u FROM arrangement WHERE bit_count(mask) = n1),
+approx AS ({mwu_sql(BALANCE_SQL, ['metric'])}),
+exact AS (
+  SELECT p.metric, least(1.0, 2.0 * count(CASE WHEN p.u <= least(a.u_stat, a.n_high * a.n_non - a.u_stat) THEN 1 END) / count(*)) AS p
+  FROM placed p JOIN approx a USING (metric) GROUP BY p.metric)
+SELECT a.metric, a.u_stat, coalesce(e.p, a.p_mwu) AS p_mwu, a.n_high, a.n_non FROM approx a LEFT JOIN exact e USING (metric)"""
+
+
+@query("mann_whitney_exact", "metric:s, u_stat:d, p_mwu:d, n_high:l, n_non:l", EXACT_SQL)
+def q_mann_whitney_exact(spark, sf_dir):
+    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal"])
+    group = F.concat_ws("/", F.col("c_nationkey").cast("string"), "c_mktsegment", (F.col("c_custkey") % 2).cast("string"))
+    return cohort.mann_whitney_u(c.select(group.alias("metric"), F.col("c_acctbal").alias("value"),
+                                          (F.floor(F.col("c_custkey") / 2) % 2).cast("int").alias("label")))
+
+
 # ---- rates, crosstabs, shares, chi-square -----------------------------------------------------------
 @query("rate_by_category", "c_mktsegment:s, pct_high:d, n:l",
        f"SELECT c_mktsegment, avg(CAST(y AS DOUBLE)) AS pct_high, count(*) AS n FROM ({OC_SQL}) s "
