@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.session import cut_lineage
+
+if TYPE_CHECKING:
+    from cohortlens.sources.versions import VersionedTable
+
 
 def desc_nulls_first(*cols: str) -> list[Column]:
     """PostgreSQL ``ORDER BY c DESC`` puts NULLs first; Spark's default is NULLS LAST."""
@@ -37,6 +43,18 @@ def latest_per_key_code(df: DataFrame, keys: Sequence[str] = ("employee_id", "pi
     return first_per_key(df, list(keys), order).select(*keys, value)
 
 
+def update_latest(kept: VersionedTable, batch: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> int:
+    """Bring a kept table of the best row per key up to date with a batch of new rows; returns its version.
+
+    ``order`` is that of :func:`first_per_key`. The batch is reduced to its best row per key, compared with the kept row of
+    that key only, and merged in; neither earlier batches nor files without a key of the batch are read whole.
+    """
+    columns = kept.schema.fieldNames()
+    best = cut_lineage(first_per_key(batch.select(*columns), keys, order))  # feeds the lookup and the merge
+    before = kept.read().join(best.select(*keys), list(keys), "left_semi")
+    return kept.upsert(first_per_key(before.unionByName(best), keys, order), keys)
+
+
 def pivot_wide(long: DataFrame, key: str, code: str, value: str, codes: Sequence[str]) -> DataFrame:
     """Long -> wide with a known value list (no extra distinct job); missing cell -> NULL.
 

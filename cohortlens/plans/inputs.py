@@ -15,6 +15,7 @@ from cohortlens.operators.clean import fix_disc
 from cohortlens.operators.latest import latest_per_key, latest_per_key_code, pivot_wide
 from cohortlens.sources import fixtures as fx
 from cohortlens.sources import projections as pj
+from cohortlens.sources.schemas import CORE
 from cohortlens.sources.tables import read_table
 
 
@@ -114,6 +115,9 @@ DIM_OF = {"company": ("dim_companies", "company_id"), "area": ("dim_areas", "are
           "major": ("dim_majors", "major_id")}
 
 
+OPTIONAL = ("strengths", "papi_scores", "profiles_psych")  # an analysis goes on without these
+
+
 class CoreBundle(Bundle):
     """The same analyses over real core tables (e.g. the output of ``plans.etl.build_core``) instead of
     the fixture model: ``tables`` maps core table names to DataFrames."""
@@ -123,6 +127,9 @@ class CoreBundle(Bundle):
         self.tables = tables
 
     def _t(self, name: str) -> DataFrame:
+        """A core table; the optional ones are empty, with their columns, where the load lacks them."""
+        if name not in self.tables and name in OPTIONAL:
+            return self.spark.createDataFrame([], CORE[name])
         return self.tables[name]
 
     @cached_property
@@ -154,7 +161,10 @@ class CoreBundle(Bundle):
 
     @cached_property
     def employees_org(self) -> DataFrame:
-        """Star join: employee ids -> grade, education and major names from the core dimensions."""
+        """Star join: employee ids -> grade, education and major names from the core dimensions.
+
+        Employee tables without some of these ids give NULL names for them.
+        """
         return self._star(pj.employees_org_min(self.employees), ("grade", "education", "major")) \
             .withColumn("area_id", F.lit(None).cast("string"))
 
@@ -167,7 +177,7 @@ class CoreBundle(Bundle):
     def _star(self, e: DataFrame, names) -> DataFrame:
         for name in names:
             dim, key = DIM_OF[name]
-            if dim in self.tables:
+            if dim in self.tables and key in e.columns:
                 # no hint: the planner broadcasts a dimension whose measured size is small
                 d = self._t(dim).select(F.col(key), F.col("name").alias(name))
                 e = e.join(d, key, "left")
