@@ -14,7 +14,7 @@ ranked; all below the belt are handed out at once.
 Everything is built from DataFrame functions. The windows without a key run over one row per source.
 
 Defined cases: a null text has size 0 and takes nothing; a null source is a source of its own and
-comes last; repeated rows are separate rows (ties in the seeded order are broken by size, and equal
+comes last; rows without an id, or of one id, are dealt to shards by their texts; repeated rows are separate rows (ties in the seeded order are broken by size, and equal
 rows share alike whichever comes first); with no words at all every target is 0; an empty table
 gives no rows; other columns are carried through unchanged unless they bear one of the result's names.
 """
@@ -37,6 +37,11 @@ def size_of(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def text_tag(text: str = "text") -> Column:
+    """Hash of a text, by which rows without an id, or of one id, are told apart when shards are dealt."""
+    return F.xxhash64(F.col(text))
+
+
 def targets(sources: DataFrame, most: int = MOST) -> DataFrame:
     """Add ``_sid`` (place by name), ``weight`` and ``target`` to one row per source (source, source_size).
 
@@ -87,7 +92,7 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_rows: int = SHARD
     """Add size, source_size, target and taken (words the mix takes of the row, repeats counted) to ``docs``."""
     own = ["size", "source_size", "target", "taken"]
     rest = [c for c in docs.columns if c not in own]
-    sized = docs.select(*rest, size_of().alias("size"))
+    sized = docs.select(*rest, size_of().alias("size"), text_tag().alias("_tag"))
     return _mixed(sized, rest, block_words, shard_rows, most, seed)
 
 
@@ -102,7 +107,7 @@ def _mixed(sized: DataFrame, rest: list[str], block_words: int, shard_rows: int,
     sources = written(sources, "mix-sources")  # one row per source, used by both passes below
 
     rows = sized.join(sources, sized["source"].eqNullSafe(sources["_source"]), "left") \
-        .withColumn("_hash", F.xxhash64(F.lit(seed), F.col("doc_id"))) \
+        .withColumn("_hash", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("_tag"))) \
         .withColumn("_shard", F.pmod(F.xxhash64("_hash"), F.col("_shards")).cast("int"))
     shards = rows.groupBy("_sid", "_shard").agg(F.sum("size").alias("_shard_size"),
                                                 F.first("_source_blocks").alias("_source_blocks"))
@@ -145,6 +150,6 @@ def apply_mix(docs: DataFrame) -> DataFrame:
 def op5_mixing(spark, sf_dir: str) -> DataFrame:
     """Contract query: what the mix takes of every document."""
     docs = documents(spark, sf_dir, "doc_id", "source", "text")
-    sized = written(docs.select("doc_id", "source", size_of().alias("size")), "mix-sizes")  # texts are read once
+    sized = written(docs.select("doc_id", "source", size_of().alias("size"), text_tag().alias("_tag")), "mix-sizes")  # texts are read once
     return _mixed(sized, ["doc_id", "source"], BLOCK_WORDS, SHARD_ROWS, MOST, SEED) \
         .select("doc_id", "size", "source_size", "target", "taken", "source")

@@ -90,6 +90,17 @@ def test_many_shards_and_edges(spark, edge_docs, no_docs):
     assert M.mix(no_docs).count() == 0
 
 
+def test_rows_without_an_id_are_spread(spark):
+    """A source of null ids, and one of a single id, fill their shards evenly; equal rows still take alike in sum."""
+    rows = [(None, "a", f"word{i} x y z") for i in range(1000)] + [(7, "b", f"other{i} x") for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    check(M.mix(df, shard_rows=20).collect())
+    h = M.F.xxhash64(M.F.lit(M.SEED), "doc_id", M.text_tag())
+    per = df.groupBy("source", M.F.pmod(M.F.xxhash64(h), M.F.lit(50)).alias("shard")).count().groupBy("source").agg(
+        M.F.count(M.F.lit(1)).alias("n"), M.F.max("count").alias("most")).collect()
+    assert all(r.n == 50 and r.most < 60 for r in per)
+
+
 def test_native(spark):
     plan = M.op5_mixing(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "InPandas" not in plan
