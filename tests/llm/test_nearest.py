@@ -87,3 +87,42 @@ def test_hadamard_keeps_lengths():
     assert np.allclose(np.linalg.norm(X.hadamard(x), axis=1), np.linalg.norm(x, axis=1))
     h = X.hadamard(np.eye(4)) * 2
     assert np.allclose(h @ h.T, 4 * np.eye(4)) and set(h.ravel()) == {1.0, -1.0}
+
+
+def met(spark, sf):
+    """Share of (query, candidate) pairs that are ranked, from the buckets and limits of the operator itself."""
+    t = spark.read.parquet(f"{sf}/embeddings.parquet")
+    rows = X.clean(t.select("vec_id", "embedding"))
+    m = np.array([r["embedding"] for r in t.select("embedding").collect()], dtype=float)
+    index = X.indexed(rows, X.TABLES, {64: float(np.linalg.norm(m, axis=1).max())}, "<f4").cache()
+    n = index.count()
+    shares = {64: X.ranked_share(n, X.K, X.SHARE)}
+    asked = X._asked(rows.where(IS_QUERY), X.TABLES, shares, {64: 3}, X.fitted_sample(index, {64: n}), "<f4").collect()
+    bucket = np.array([r["axes"] for r in index.select("axes").collect()])
+    pairs, ids = 0, sorted({r["id"] for r in asked})
+    for i in ids:
+        hit = np.zeros(n, dtype=bool)
+        for r in (r for r in asked if r["id"] == i):
+            own = bucket[:, r["table"] * X.ROTATIONS:(r["table"] + 1) * X.ROTATIONS]
+            near = X.near_axes(X._unit_queries(np.array([r["v"]], dtype=float)), r["table"])
+            hit |= (X._sums(near, np.array([0]), own)[0] >= r["least"]) & np.isin(own[:, 0], r["first"])
+        pairs += hit.sum()
+    return pairs / (n * len(ids))
+
+
+def test_share_of_candidates_falls(spark):
+    small, large = met(spark, "/root/testdata/sf0.01"), met(spark, "/root/testdata/sf0.1")
+    print("share of candidates ranked", small, large)
+    assert large < 0.2 and large < small
+
+
+def test_hot_vectors_split_on_both_sides(spark):
+    """A third of the rows in one narrow cone: its block is split by candidates and by queries."""
+    rng = np.random.default_rng(7)
+    m = rng.normal(size=(3000, 16))
+    m[:1000] = m[0] + rng.normal(size=(1000, 16)) * 0.01
+    ids = np.arange(3000)
+    got = results(X.nearest(frame(spark, ids, m.tolist(), "double"), "vec_id % 2 = 0", block_rows=100))
+    want = {q: w for q, w in brute(ids, m, 20).items()}
+    assert len(got) == 1500
+    assert recall(got, want) > 0.9
