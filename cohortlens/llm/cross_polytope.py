@@ -40,7 +40,8 @@ ROTATIONS = 6          # axes that make a bucket
 SHARE = 1.3            # share of the rows that a query ranks in a table: SHARE * rows ** -0.4
 VISITS = 4.0           # share of first axes that a query goes to: VISITS * sqrt(share of the rows)
 SAMPLE = 8192          # rows of the index that limits are read off
-BLOCK_ROWS = 10_000    # candidates, and queries, that meet in one task
+BLOCKS = 8             # blocks of first axes in a table, at least: each sends back k rows of a query
+BLOCK_ROWS = 25_000    # candidates, and queries, that meet in one task
 STEP = 1000            # vectors that are rotated at once
 SEED = 20240501
 
@@ -226,7 +227,7 @@ def _meet(queries: DataFrame, candidates: DataFrame, k: int, kind: str) -> DataF
 def _search(queries: DataFrame, index: DataFrame, k: int, tables: int, shares: dict[int, float],
             sizes: dict[int, int], sample: dict[int, np.ndarray], kind: str, block_rows: int) -> DataFrame:
     spark = index.sparkSession
-    blocks = {dim: min(axes(dim), -(-n // block_rows)) for dim, n in sizes.items()}
+    blocks = {dim: min(axes(dim), max(BLOCKS, -(-n // block_rows))) for dim, n in sizes.items()}
     lengths = spark.createDataFrame([(dim, n, axes(dim)) for dim, n in blocks.items()],
                                     "dim int, blocks int, axes int")  # a row per vector length
     in_tables = F.explode(F.array(*(
