@@ -20,6 +20,7 @@ from cohortlens.sources.tables import read_table
 WORD = r"[^\x20\x09-\x0D]+"  # a word: a run of anything but the six ASCII white-space characters
 CHUNK_BYTES = 1_000_000      # texts are hashed in runs of documents of about this many bytes
 SEGMENT_BYTES = 8_000_000    # a longer run, which is one long document, is hashed in segments of this many
+TASKS = 100_000              # tasks that the groups of a step are dealt to at most; beyond, a task works through several
 
 _WS = np.zeros(256, dtype=bool)
 _WS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -59,6 +60,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def group_count(docs: DataFrame, size: int) -> int:
+    """Groups of about ``size`` bytes of text each: they grow in number with the input, not in size."""
+    return 1 + int(docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0) // size
+
+
+def by_part(df: DataFrame, parts: int) -> DataFrame:
+    """``df`` dealt by its column ``part`` to as many tasks as there are groups, ``TASKS`` at most."""
+    return df.repartition(min(parts, TASKS), "part")
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = x.astype(np.uint64, copy=True)

@@ -37,11 +37,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
-from cohortlens.llm.common import (SEGMENT_BYTES, WORD, arrow_buffer, chunks, documents, prefix_hash, small_batches,
-                                   span_hash, text_bytes, written)
+from cohortlens.llm.common import (SEGMENT_BYTES, WORD, arrow_buffer, by_part, chunks, documents, group_count, prefix_hash,
+                                   small_batches, span_hash, text_bytes, written)
 
 WINDOW = 100        # bytes
 GRAM = 32           # bytes of an anchor
+GROUP_BYTES = 4_000_000  # bytes of text a group of entries or documents is counted for
 FLUSH = 500_000     # entries a map task holds before it sends them
 FLUSH_BYTES = 16_000_000
 SPREAD = 20_000     # contexts of an anchor from which its windows are dealt out one by one
@@ -231,7 +232,7 @@ def _settle(sent: DataFrame, parts: int, spread: int) -> DataFrame:
             for kind, pick in ((MIXED, (sizes > 1) & (sizes <= spread)), (HOT, sizes > spread)):
                 out += _rows(_doc_part(first[pick], parts), kind, first[pick])
         return _table(iter(out))
-    return sent.groupBy("part").applyInArrow(run, BLOBS)
+    return by_part(sent, parts).groupBy("part").applyInArrow(run, BLOBS)
 
 
 # ---------------------------------------------------------------- texts by document part
@@ -424,7 +425,7 @@ def _contexts(texts: DataFrame, found: DataFrame, window: int, parts: int) -> Da
                 single["g"] = span_hash(sums, at, at + window)
                 out += _rows((single["g"] % np.uint64(parts)).astype(np.int64), ENTRIES, single, bodies)
             return _table(iter(out))
-    return texts.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(run, BLOBS)
+    return by_part(texts, parts).groupBy("part").cogroup(by_part(found, parts).groupBy("part")).applyInArrow(run, BLOBS)
 
 
 def _passes(contexts: DataFrame, window: int, parts: int) -> DataFrame:
@@ -445,7 +446,7 @@ def _passes(contexts: DataFrame, window: int, parts: int) -> DataFrame:
                 cut = _in_runs(np.concatenate(entries), bodies, window)
                 out += _rows(_doc_part(cut, parts), CUTS, cut)
             return _table(iter(out))
-    return contexts.groupBy("part").applyInArrow(run, BLOBS)
+    return by_part(contexts, parts).groupBy("part").applyInArrow(run, BLOBS)
 
 
 # ---------------------------------------------------------------- operator
@@ -454,7 +455,7 @@ RESULT = ("doc_id long, n_bytes long, n_removed long, n_spans long, "
           "spans array<struct<start: long, end: long>>, kept binary")
 
 
-def _apply(texts: DataFrame, cuts: DataFrame, window: int, form: str, row: StructField | None) -> DataFrame:
+def _apply(texts: DataFrame, cuts: DataFrame, window: int, parts: int, form: str, row: StructField | None) -> DataFrame:
     forms = {"bytes": lambda b: b, "digest": lambda b: hashlib.sha256(b).hexdigest().encode(),
              "text": lambda b: b.decode("utf-8", "ignore").encode()}
     shape = forms[form]
@@ -488,7 +489,7 @@ def _apply(texts: DataFrame, cuts: DataFrame, window: int, form: str, row: Struc
             return out.append_column("row", pa.concat_tables(streams)["row"].combine_chunks())
         return out.append_column(to_arrow_schema(StructType([row])).field(0), pa.nulls(0, to_arrow_schema(
             StructType([row])).field(0).type))
-    return texts.groupBy("part").cogroup(cuts.groupBy("part")).applyInArrow(run, schema)
+    return by_part(texts, parts).groupBy("part").cogroup(by_part(cuts, parts).groupBy("part")).applyInArrow(run, schema)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, spread: int = SPREAD,
@@ -503,13 +504,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, spre
         raise ValueError("gram < window <= 200 is needed")
     spark = docs.sparkSession
     small_batches(spark)
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = group_count(docs, GROUP_BYTES)
     keyed = _keyed(docs, carry or [])
     found = written(_settle(_entries(keyed, window, gram, parts), parts, spread), "suffix-entries")
     mixed = _contexts(_texts(keyed, parts, False), found.where(F.col("kind").isin(MIXED, HOT)), window, parts)
     more = _passes(mixed, window, parts)
     cuts = found.where(F.col("kind") == CUTS).unionByName(more)
-    return _apply(_texts(keyed, parts, bool(carry)), cuts, window, form, keyed.schema["row"] if carry else None)
+    return _apply(_texts(keyed, parts, bool(carry)), cuts, window, parts, form, keyed.schema["row"] if carry else None)
 
 
 def cut_repeats(docs: DataFrame) -> DataFrame:

@@ -115,3 +115,13 @@ def test_texts_without_id_whose_hashes_share_31_bits(spark):
            and x[x.index(passage) + edge] != y[y.index(passage) + edge] and x.index(passage) != y.index(passage)]
     assert own
     check(spark, spark.createDataFrame([(1, passage), *((None, t) for t in own[0])], "doc_id long, text string"))
+
+
+@pytest.mark.parametrize("spread", [20_000, 1])
+def test_many_groups(spark, edge_docs, spread, monkeypatch):
+    """Groups are counted from the bytes of the texts; the result does not depend on their number."""
+    docs = documents(spark, "/root/testdata/sf0.001").select("doc_id", "text").unionByName(
+        edge_docs.select("doc_id", "text"))
+    monkeypatch.setattr(S, "GROUP_BYTES", 20_000)
+    assert S.group_count(docs, S.GROUP_BYTES) > 10
+    check(spark, docs, spread=spread)
