@@ -19,7 +19,12 @@ CONTEXT_FACTORS = ("grade", "education", "major")
 
 
 def _labelled(b: Bundle, df: DataFrame, how: str = "inner") -> DataFrame:
-    lab = b.perf_latest.select("employee_id", "rating")
+    """``df`` with the label of the latest rating.
+
+    The planner rates the exploded scales by the size of their Parquet columns and would broadcast them through the
+    driver, so the join is told to shuffle both sides; the labels, one row per employee, are the hashed one.
+    """
+    lab = b.perf_latest.select("employee_id", "rating").hint("shuffle_hash")
     return df.join(lab, "employee_id", how).withColumn("label", label_cohort("rating"))
 
 

@@ -2,7 +2,12 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
+from cohortlens.plans import reports
+from cohortlens.plans.inputs import Bundle
+from cohortlens.sources import fixtures as fx
 
 
 def _plan(df):
@@ -59,5 +64,11 @@ def test_v1_aligns_its_parts_without_a_full_join(spark, sf_small):
         assert "FullOuter" not in plan, name
 
 
+def test_labels_are_joined_without_a_broadcast(spark, sf_small):
+    """The exploded scales are far larger than their Parquet columns suggest: no side may go through the driver."""
+    plan = _plan(E.queries()["report_cognitive"](spark, sf_small)) + _plan(reports._labelled(Bundle(spark, sf_small), Bundle(spark, sf_small).papi))
+    assert "Broadcast" not in plan.split("ShuffledHashJoin")[-1] and "ShuffledHashJoin" in plan
+
+
 def test_orphans_need_no_distinct(spark, sf_small):
     assert "Aggregate" not in _plan(E.queries()["quality_orphans"](spark, sf_small))
