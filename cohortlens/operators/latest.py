@@ -58,6 +58,7 @@ def update_latest(kept: VersionedTable, batch: DataFrame, keys: Sequence[str], o
 def pivot_wide(long: DataFrame, key: str, code: str, value: str, codes: Sequence[str]) -> DataFrame:
     """Long -> wide with a known value list (no extra distinct job); missing cell -> NULL.
 
-    (key, code) should be unique (see ``quality.check_unique``); of duplicates the largest value is kept.
+    (key, code) should be unique (see ``quality.check_unique``); of duplicates the largest value is kept. One aggregate
+    with a group per key: ``GroupedData.pivot`` would group by (key, code) first, a group per row, in the scanning tasks.
     """
-    return long.groupBy(key).pivot(code, list(codes)).agg(F.max(value))
+    return long.groupBy(key).agg(*[F.max(F.when(F.col(code) == c, F.col(value))).alias(c) for c in codes])

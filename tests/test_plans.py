@@ -70,5 +70,10 @@ def test_labels_are_joined_without_a_broadcast(spark, sf_small):
     assert "Broadcast" not in plan.split("ShuffledHashJoin")[-1] and "ShuffledHashJoin" in plan
 
 
+def test_pivot_groups_by_the_key_alone(spark, sf_small):
+    plan = _plan(E.queries()["psy_component_v1"](spark, sf_small))
+    assert "pivotfirst" not in plan.lower() and not re.search(r"HashAggregate\(keys=\[[^\]]*scale_code", plan)
+
+
 def test_orphans_need_no_distinct(spark, sf_small):
     assert "Aggregate" not in _plan(E.queries()["quality_orphans"](spark, sf_small))
