@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cohortlens.session import spread
 from cohortlens.sources.tables import read_table
 
 # --- fixed values used to derive the fixture views ---------------------------------------------
@@ -73,8 +74,11 @@ def fx_competencies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_papi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer x scale index i (the 20 scales), minus the (c + i) % 11 == 0 holes."""
-    c = read_table(spark, sf_dir, "customer", ["c_custkey"])
+    """Customer x scale index i (the 20 scales), minus the (c + i) % 11 == 0 holes.
+
+    The keys are dealt out before they become 20 rows each.
+    """
+    c = spread(read_table(spark, sf_dir, "customer", ["c_custkey"]))
     k, i = F.col("c_custkey"), F.col("i")
     x = c.select("c_custkey", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(len(PAPI_SCALES) - 1).cast("bigint")))
                  .alias("i"))

@@ -75,5 +75,11 @@ def test_pivot_groups_by_the_key_alone(spark, sf_small):
     assert "pivotfirst" not in plan.lower() and not re.search(r"HashAggregate\(keys=\[[^\]]*scale_code", plan)
 
 
+def test_scales_are_dealt_out_before_they_multiply(spark, sf_small):
+    """150 customers lie in one row group, so in one task; their 20 rows each must not."""
+    tasks = fx.fx_papi(spark, sf_small).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 8 and max(r["count"] for r in tasks) <= 20 * 150 / 8
+
+
 def test_orphans_need_no_distinct(spark, sf_small):
     assert "Aggregate" not in _plan(E.queries()["quality_orphans"](spark, sf_small))
