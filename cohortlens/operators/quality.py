@@ -47,35 +47,44 @@ class TableRules:
 def key_census(tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules]) -> DataFrame:
     """(table_name, kind, subject, ref, id, null_part, n, n_long): how often each key, reference and unique value occurs.
 
-    One scan and one aggregate a table: its keys and references are unpivoted, and a value that a third of the rows
-    hold is one row after the partial aggregation. A key of several columns is written as JSON, a single one as text.
+    One scan and one aggregate a table: keys, references and unique values are grouping sets over their typed columns,
+    so a value that a third of the rows hold is one row after the partial aggregation, and text is made of the groups,
+    not of the rows. A key of several columns is written as JSON, a single one as text.
     """
-    def entry(kind: str, subject: str, ref: str | None, columns: Sequence[str], most: int | None = None):
-        value = F.col(columns[0]).cast("string") if len(columns) == 1 else F.to_json(F.struct(*columns))
-        null_part = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
-        long = F.lit(0) if most is None else F.when(F.length(columns[0]) > most, 1).otherwise(0)
-        return F.struct(F.lit(kind).alias("kind"), F.lit(subject).alias("subject"), F.lit(ref).cast("string").alias("ref"),
-                        value.alias("id"), null_part.alias("null_part"), long.cast("long").alias("long"))
-    parts = []
-    for name, r in rules.items():
-        if name not in tables:
-            continue
-        rows = [entry("key", ",".join(r.keys), None, r.keys), *(entry("ref", c, t, [c]) for c, t in r.refers.items()),
-                *(entry("unique", c, None, [c]) for c in r.unique),
-                *(entry("length", c, None, [c], most) for c, most in r.lengths.items())]
-        parts.append(tables[name].select(F.lit(name).alias("table_name"), F.explode(F.array(*rows)).alias("x"))
-                     .select("table_name", "x.*").groupBy("table_name", "kind", "subject", "ref", "id", "null_part")
-                     .agg(F.count(F.lit(1)).alias("n"), F.sum("long").alias("n_long")))
+    parts = [_table_census(name, tables[name], r) for name, r in rules.items() if name in tables]
     return reduce(DataFrame.unionByName, parts)
 
 
+def _table_census(name: str, df: DataFrame, r: TableRules) -> DataFrame:
+    entries = [*([("key", r.keys, None, None)] if r.keys else []), *(("ref", (c,), t, None) for c, t in r.refers.items()),
+               *(("unique", (c,), None, None) for c in r.unique), *(("length", (c,), None, m) for c, m in r.lengths.items())]
+    sets = list(dict.fromkeys(columns for _, columns, _, _ in entries))  # columns under two rules are counted once
+    used = list(dict.fromkeys(c for columns in sets for c in columns))
+    gid = {columns: sum(1 << i for i, c in enumerate(reversed(used)) if c not in columns) for columns in sets}
+    groups = df.groupingSets([list(columns) for columns in sets], *used) \
+        .agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("n"))
+
+    def pick(on: str, values: Sequence[tuple[int, Column]]) -> Column:
+        return F.coalesce(*[F.when(F.col(on) == k, v) for k, v in values])
+    rules_of = pick("_set", [(gid[s], F.array(*[F.lit(i) for i, e in enumerate(entries) if e[1] == s])) for s in sets])
+    text = [F.col(c[0]).cast("string") if len(c) == 1 else F.to_json(F.struct(*c)) for _, c, _, _ in entries]
+    null_part = [reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns]) for _, columns, _, _ in entries]
+    long = [F.lit(0) if m is None else F.when(F.length(c[0]) > m, F.col("n")).otherwise(0) for _, c, _, m in entries]
+    return groups.withColumn("_rule", F.explode(rules_of)).select(
+        F.lit(name).alias("table_name"), pick("_rule", [(i, F.lit(e[0])) for i, e in enumerate(entries)]).alias("kind"),
+        pick("_rule", [(i, F.lit(",".join(e[1]))) for i, e in enumerate(entries)]).alias("subject"),
+        pick("_rule", [(i, F.lit(e[2]).cast("string")) for i, e in enumerate(entries)]).alias("ref"),
+        pick("_rule", list(enumerate(text))).alias("id"), pick("_rule", list(enumerate(null_part))).alias("null_part"), "n",
+        pick("_rule", [(i, x.cast("long")) for i, x in enumerate(long)]).alias("n_long"))
+
+
 def orphan_keys(census: DataFrame) -> DataFrame:
     """(table_name, column_name, ref, id, n): values that the table they refer to lacks, and the rows that hold them.
 
-    All references of all tables meet all keys in one anti join on (table, id). Hand in a census whose lineage is cut:
+    All references of all tables meet all keys of one column in one anti join on (table, id). Hand in a census whose lineage is cut:
     of a lazy one the optimizer moves the join below the union and scans the tables again for each.
     """
-    known = census.where("kind = 'key'").select(F.col("table_name").alias("ref"), "id")
+    known = census.where("kind = 'key' and not contains(subject, ',')").select(F.col("table_name").alias("ref"), "id")
     return census.where("kind = 'ref' and not null_part").join(known, ["ref", "id"], "left_anti") \
         .select("table_name", F.col("subject").alias("column_name"), "ref", "id", "n")
 

@@ -147,7 +147,7 @@ def q_foreign_keys(spark, sf_dir):
 
 @query("quality_constraints", "table_name:s, kind:s, subject:s, n_rows:l, n_null:l, n_repeated:l, n_long:l", _counts_sql())
 def q_constraints(spark, sf_dir):
-    return quality.census_counts(_census(spark, sf_dir))
+    return quality.census_counts(quality.key_census(_frames(spark, sf_dir), RULES))  # read once, so not cut off
 
 
 # ---- the other named projections --------------------------------------------------------------------

@@ -1,8 +1,10 @@
 """Exact U, the census of keys, kept latest rows, bucketed tables, fallbacks of the bundle, order of the reports."""
 
 import itertools
+import json
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,6 +83,30 @@ def test_constraint_queries_find_something(spark, sf_small):
     assert counts["customer", "unique", "c_mktsegment"].n_repeated > 0 and counts["nation", "length", "n_name"].n_long > 0
 
 
+def test_census_counts_typed_groups(spark):
+    """Text is made of the groups only, and a column under two rules is one grouping set; every count is the brute force one."""
+    rows = [(i % 7 if i % 5 else None, i % 3, "long" if i % 4 else None) for i in range(60)]
+    rules = {"t": quality.TableRules(("a", "b"), {"a": "u"}, ("c",), {"c": 3}), "u": quality.TableRules(("a",))}
+    t = spark.createDataFrame(rows, "a int, b int, c string")
+    census = quality.key_census({"t": t, "u": t.select("a")}, rules)
+    want = Counter()
+    for a, b, c in rows:
+        both = {k: v for k, v in (("a", a), ("b", b)) if v is not None}
+        want["t", "key", "a,b", None, json.dumps(both, separators=(",", ":")), a is None, 0] += 1
+        want["t", "ref", "a", "u", a if a is None else str(a), a is None, 0] += 1
+        want["t", "unique", "c", None, c, c is None, 0] += 1
+        want["t", "length", "c", None, c, c is None, int(c is not None)] += 1
+        want["u", "key", "a", None, a if a is None else str(a), a is None, 0] += 1
+    got = Counter({(r.table_name, r.kind, r.subject, r.ref, r.id, r.null_part, int(r.n_long > 0)): r.n for r in census.collect()})
+    assert got == want and all(r.n_long in (0, r.n) for r in census.collect())
+    counts = plan_of(quality.census_counts(census))
+    assert "to_json" not in counts.lower()
+
+
+def test_constraints_keep_no_copy_of_the_census(spark, sf_small):
+    assert "Scan ExistingRDD" not in plan_of(E.queries()["quality_constraints"](spark, sf_small))
+
+
 def test_report_from_a_census(spark):
     """Each rule broken once, by tables that hold a NULL key, a key twice, lost references and a long code."""
     def table(name, rows):
