@@ -78,6 +78,12 @@ def _table_census(name: str, df: DataFrame, r: TableRules) -> DataFrame:
         pick("_rule", [(i, x.cast("long")) for i, x in enumerate(long)]).alias("n_long"))
 
 
+def reference_rules(rules: Mapping[str, TableRules]) -> dict[str, TableRules]:
+    """The part of ``rules`` on which :func:`orphan_keys` depends: the references, and the keys of the tables referred to."""
+    known = {ref for r in rules.values() for ref in r.refers.values()}
+    return {t: TableRules(r.keys if t in known else (), r.refers) for t, r in rules.items() if t in known or r.refers}
+
+
 def orphan_keys(census: DataFrame) -> DataFrame:
     """(table_name, column_name, ref, id, n): values that the table they refer to lacks, and the rows that hold them.
 

@@ -105,8 +105,9 @@ RULES = {
 
 
 def _census(spark, sf_dir):
-    """The census of the six tables; it is cut off, so that each is scanned once whatever is asked of it."""
-    return cut_lineage(quality.key_census(_frames(spark, sf_dir), RULES))
+    """The census of the references of the six tables and of the keys they refer to; it is cut off, so that each table is
+    scanned once although the orphans are sought in the census itself."""
+    return cut_lineage(quality.key_census(_frames(spark, sf_dir), quality.reference_rules(RULES)))
 
 
 def _frames(spark, sf_dir):

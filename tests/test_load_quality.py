@@ -107,6 +107,12 @@ def test_constraints_keep_no_copy_of_the_census(spark, sf_small):
     assert "Scan ExistingRDD" not in plan_of(E.queries()["quality_constraints"](spark, sf_small))
 
 
+def test_orphans_need_no_keys_that_nothing_refers_to(spark, sf_small):
+    kept = {(r.table_name, r.kind, r.subject) for r in catalog_load._census(spark, sf_small).select("table_name", "kind", "subject").distinct().collect()}
+    refs = {(t, "ref", c) for t, r in catalog_load.RULES.items() for c in r.refers}
+    assert kept == refs | {(t, "key", catalog_load.RULES[t].keys[0]) for t in ("orders", "part", "supplier", "customer", "nation")}
+
+
 def test_report_from_a_census(spark):
     """Each rule broken once, by tables that hold a NULL key, a key twice, lost references and a long code."""
     def table(name, rows):
