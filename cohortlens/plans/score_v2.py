@@ -71,7 +71,7 @@ def psy_component_v2(psych: DataFrame, papi_wide: DataFrame) -> DataFrame:
                        [("zclip", "pauli", "z_pauli"), ("zclip", "faxtor", "z_faxtor")])
     qz = scale_columns(papi_wide.select("employee_id", "Papi_P", "Papi_W"),
                        [("zclip", "Papi_P", "z_pp"), ("zclip", "Papi_W", "z_pw")])
-    j = pz.join(qz.select("employee_id", "z_pp", "z_pw"), "employee_id", "left")
+    j = pz.join(qz.select("employee_id", "z_pp", "z_pw").hint("merge"), "employee_id", "left")
     w = PSY_WEIGHTS_V2
     core = (F.lit(w["pauli"]) * F.col("z_pauli") + F.lit(w["faxtor"]) * F.col("z_faxtor")
             + F.lit(w["Papi_P"]) * F.col("z_pp") + F.lit(w["Papi_W"]) * F.col("z_pw"))
@@ -88,14 +88,18 @@ def score_v2_parts(comp_latest: DataFrame, strengths: DataFrame, psych_fixed: Da
                    papi_wide: DataFrame, weights: DataFrame) -> DataFrame:
     """Base = employees with a competency row; parts left-joined onto it with defaults
     (strengths 0, psychometric 0.5, bonus 0). Columns: employee_id, comp_score, str_score,
-    psy_score, disc_bonus, raw."""
+    psy_score, disc_bonus, raw.
+
+    The planner rates psychometric rows by the Parquet bytes of their few columns and would broadcast them, a row per
+    employee, through the driver and into every task; they are told to shuffle, here and in ``psy_component_v2``.
+    """
     comp = comp_component_v2(comp_latest, weights)
     strn = theme_hit_share(strengths)
     psy = psy_component_v2(psych_fixed, papi_wide)
     disc = psych_fixed.select("employee_id", "disc")
     j = (comp.join(strn, "employee_id", "left")
-             .join(psy, "employee_id", "left")
-             .join(disc, "employee_id", "left"))
+             .join(psy.hint("merge"), "employee_id", "left")
+             .join(disc.hint("merge"), "employee_id", "left"))
     m = MAIN_WEIGHTS_V2
     parts = j.select(
         "employee_id", "comp_score",

@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -14,6 +15,15 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def _plans_of(spark, sf_dir, monkeypatch, name):
+    """The plans of every frame a query checkpoints on its way, the first one first, and of its result."""
+    frame = type(spark.range(1))
+    plans, cut = [], frame.checkpoint
+    monkeypatch.setattr(frame, "checkpoint", lambda df, eager=True: plans.append(_plan(df)) or cut(df, eager))
+    plans.append(_plan(E.queries()[name](spark, sf_dir)))
+    return "\n".join(plans)
+
+
 def test_latest_per_key_uses_window_group_limit(spark, sf_small):
     plan = _plan(E.queries()["latest_per_key"](spark, sf_small))
     assert "WindowGroupLimit" in plan and "Partial" in plan
@@ -75,6 +85,20 @@ def test_pivot_groups_by_the_key_alone(spark, sf_small):
     assert "pivotfirst" not in plan.lower() and not re.search(r"HashAggregate\(keys=\[[^\]]*scale_code", plan)
 
 
+@pytest.mark.parametrize("name", ["score_v2_parts"])
+def test_v2_scores_pivot_with_a_group_per_key(spark, sf_small, monkeypatch, name):
+    """Of every frame the query cuts, and of its result: no partial aggregate holds a group per (employee, scale)."""
+    plans = _plans_of(spark, sf_small, monkeypatch, name)
+    assert "customer.parquet" in plans and "explode" in plans
+    assert "pivotfirst" not in plans.lower() and not re.search(r"HashAggregate\(keys=\[[^\]]*scale_code", plans)
+
+
+def test_v2_parts_are_joined_without_a_broadcast(spark, sf_small):
+    """Psychometric rows, one per employee from few Parquet bytes, go neither through the driver nor into every task."""
+    plan = _plan(E.queries()["score_v2_parts"](spark, sf_small))
+    assert "SortMergeJoin [employee_id" in plan and "BroadcastHashJoin [employee_id" not in plan
+
+
 def test_scales_are_dealt_out_before_they_multiply(spark, sf_small):
     """150 customers lie in one row group, so in one task; their 20 rows each must not."""
     tasks = fx.fx_papi(spark, sf_small).groupBy(F.spark_partition_id()).count().collect()
