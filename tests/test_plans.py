@@ -85,7 +85,7 @@ def test_pivot_groups_by_the_key_alone(spark, sf_small):
     assert "pivotfirst" not in plan.lower() and not re.search(r"HashAggregate\(keys=\[[^\]]*scale_code", plan)
 
 
-@pytest.mark.parametrize("name", ["score_v2_parts", "evaluate_success_v2", "report_group_precision"])
+@pytest.mark.parametrize("name", ["score_v2_parts", "evaluate_success_v2", "report_group_precision", "score_eval_frame"])
 def test_v2_scores_pivot_with_a_group_per_key(spark, sf_small, monkeypatch, name):
     """Of every frame the query cuts, and of its result: no partial aggregate holds a group per (employee, scale)."""
     plans = _plans_of(spark, sf_small, monkeypatch, name)
