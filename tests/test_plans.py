@@ -99,6 +99,15 @@ def test_v2_parts_are_joined_without_a_broadcast(spark, sf_small):
     assert "SortMergeJoin [employee_id" in plan and "BroadcastHashJoin [employee_id" not in plan
 
 
+@pytest.mark.parametrize("name", ["evaluate_success_v2", "report_group_precision", "score_eval_frame"])
+def test_v2_frames_broadcast_no_psychometric_rows(spark, sf_small, monkeypatch, name):
+    """Of the joins by employee, in all frames the query cuts, only those of labels and group names may be broadcast."""
+    plans = _plans_of(spark, sf_small, monkeypatch, name)
+    assert "SortMergeJoin [employee_id" in plans
+    joins = re.findall(r"BroadcastHashJoin \[employee_id#\d+\].*", plans)
+    assert len(joins) <= (2 if name == "report_group_precision" else 1), joins
+
+
 def test_scales_are_dealt_out_before_they_multiply(spark, sf_small):
     """150 customers lie in one row group, so in one task; their 20 rows each must not."""
     tasks = fx.fx_papi(spark, sf_small).groupBy(F.spark_partition_id()).count().collect()
