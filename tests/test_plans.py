@@ -108,6 +108,17 @@ def test_v2_frames_broadcast_no_psychometric_rows(spark, sf_small, monkeypatch,
     assert len(joins) <= (2 if name == "report_group_precision" else 1), joins
 
 
+@pytest.mark.parametrize("name", ["score_eval_frame"])
+def test_v2_frames_hash_orders_instead_of_sorting_lineitem(spark, sf_small, monkeypatch, name):
+    """With tables too large to broadcast, as at size, no task sorts lineitem for its join with orders."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = _plans_of(spark, sf_small, monkeypatch, name)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin [l_orderkey" in plans and "SortMergeJoin [l_orderkey" not in plans
+
+
 def test_scales_are_dealt_out_before_they_multiply(spark, sf_small):
     """150 customers lie in one row group, so in one task; their 20 rows each must not."""
     tasks = fx.fx_papi(spark, sf_small).groupBy(F.spark_partition_id()).count().collect()
