@@ -108,7 +108,7 @@ def test_v2_frames_broadcast_no_psychometric_rows(spark, sf_small, monkeypatch,
     assert len(joins) <= (2 if name == "report_group_precision" else 1), joins
 
 
-@pytest.mark.parametrize("name", ["score_eval_frame"])
+@pytest.mark.parametrize("name", ["evaluate_success_v2", "score_eval_frame"])
 def test_v2_frames_hash_orders_instead_of_sorting_lineitem(spark, sf_small, monkeypatch, name):
     """With tables too large to broadcast, as at size, no task sorts lineitem for its join with orders."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
