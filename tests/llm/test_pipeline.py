@@ -4,8 +4,10 @@ import corpus_pipeline as P
 from pyspark.sql import functions as F
 from tests.llm.conftest import documents
 from tests.llm.test_jaccard import brute as components
+from tests.llm.test_jaccard import few_copies, moved, shingles
 from tests.llm.test_suffix import brute as cuts
 
+from cohortlens.llm import jaccard_join as J
 from cohortlens.llm import mixing, tokens
 from cohortlens.llm.common import written
 
@@ -63,3 +65,22 @@ def test_edges_pass_through(spark, edge_docs, no_docs):
             assert name == "packing" or out.columns == edge_docs.columns
             docs = out
     assert docs.count() == 0
+
+
+def test_near_duplicates_sends_ngrams_without_their_class(spark, monkeypatch):
+    """What the stage sends to find shared n-grams is bounded by the n-grams, however many groups there are."""
+    rows, sent = few_copies(), []
+
+    def watched(df, name):
+        if name == "jaccard-classes":
+            sent.append(moved(df)[1])
+        return written(df, name)
+    monkeypatch.setattr(J, "written", watched)
+    monkeypatch.setattr(J, "GROUP_BYTES", 9000)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).cache()
+    assert J.group_count(docs, J.GROUP_BYTES) > 35
+    kept = P.near_duplicates(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == list(range(1000))
+    grams = sum(len(s) for s in {frozenset(shingles(t)) for _, t in rows})
+    assert sent[0] < 14 * grams, sent[0] / grams
+    docs.unpersist()
